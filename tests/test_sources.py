@@ -1,0 +1,133 @@
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from topicwake import schemas
+from topicwake.session import shared_folder
+from topicwake.sources import corpus, landing, stages
+
+
+def write(path, name, **columns):
+    path.mkdir(exist_ok=True)
+    pq.write_table(pa.table(columns), path / f"{name}.parquet", row_group_size=3)
+
+
+def test_scan_order_ids_and_defaults(spark, tmp_path):
+    src = tmp_path / "src"
+    scores = pa.array([[1, 2], None, []] + [[3]] * 5, pa.list_(pa.int64()))
+    for name, start in (("b", 8), ("a", 0), ("c", 16)):
+        texts = [f"text {start + i}" for i in range(8)]
+        texts[1] = None
+        write(
+            src,
+            name,
+            title=pa.array([f"title {start + i}" if i else None for i in range(8)]),
+            text=pa.array(texts),
+            score=pa.array([0.5, None] + [2.0] * 6, pa.float32()),
+            reddit_scores=scores,
+        )
+    (src / "note.txt").write_text("not parquet")
+    rows = corpus.scan_corpus(spark, str(src)).orderBy("id").collect()
+    assert [r.id for r in rows] == list(range(24))
+    assert [r.text for r in rows[:3]] == ["text 0", "None", "text 2"]
+    assert rows[8].title == "None" and rows[9].title == "title 9" and rows[23].text == "text 23"
+    assert [r.score for r in rows[:3]] == [0.5, 0.0, 2.0]
+    assert [r.reddit_scores for r in rows[:4]] == [[1, 2], [], [], [3]]
+    assert corpus.scan_corpus(spark, str(src)).schema.simpleString() == schemas.RAW.simpleString()
+    kept = corpus.scan_corpus(spark, str(src), null_as_none=False).where("text is null").count()
+    assert kept == 3
+
+
+def test_max_rows_reads_only_the_files_it_needs(spark, tmp_path):
+    for name, start in (("a", 0), ("b", 5), ("c", 10)):
+        write(tmp_path / "s", name, text=pa.array([f"t{start + i}" for i in range(5)]))
+    df = corpus.scan_corpus(spark, str(tmp_path / "s"), max_rows=7)
+    assert [r.text for r in df.orderBy("id").collect()] == [f"t{i}" for i in range(7)]
+    assert corpus.scan_corpus(spark, str(tmp_path / "s"), max_rows=0).count() == 0
+    (tmp_path / "s" / "c.parquet").write_bytes((tmp_path / "s" / "c.parquet").read_bytes())
+    assert corpus.scan_corpus(spark, str(tmp_path / "s"), max_rows=99).count() == 15
+
+
+def test_numbering_by_chunk_gives_the_same_ids(spark, tmp_path, monkeypatch):
+    for name, n in (("a", 7), ("b", 1), ("c", 9)):
+        write(tmp_path / "s", name, text=pa.array([f"{name}{i}" for i in range(n)]))
+    small = corpus.scan_corpus(spark, str(tmp_path / "s")).orderBy("id").collect()
+    monkeypatch.setattr(corpus, "_BROADCAST_FILES", 0)
+    monkeypatch.setattr(corpus, "_CHUNK_BITS", 1)
+    assert corpus.scan_corpus(spark, str(tmp_path / "s")).orderBy("id").collect() == small
+
+
+def test_absent_columns(spark, tmp_path):
+    write(tmp_path / "s", "a", text=pa.array(["x", None]))
+    rows = corpus.scan_corpus(spark, str(tmp_path / "s")).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(0, "", "x", 0.0, []), (1, "", "None", 0.0, [])]
+    write(tmp_path / "t", "a", title=pa.array(["x"]))
+    with pytest.raises(ValueError, match="text"):
+        corpus.scan_corpus(spark, str(tmp_path / "t"))
+
+
+def test_float16(spark, tmp_path):
+    values = [1.5, -0.25, 65504.0, 6e-8, 0.0, 3e-5, 0.1, float("inf")]
+    halves = pa.array([np.float16(v) for v in values] + [None], pa.float16())
+    write(tmp_path / "s", "a", text=pa.array(["x"] * 9), score=halves)
+    df = corpus.scan_corpus(spark, str(tmp_path / "s"), float16_cols=("score",), columns=["text", "score"])
+    got = [r.score for r in df.orderBy("id").collect()]
+    assert got == [float(np.float16(v)) for v in values] + [0.0]
+    with pytest.raises(ValueError, match="float16"):
+        corpus.scan_corpus(spark, str(tmp_path / "s"))
+
+
+def test_stage_files(spark, tmp_path):
+    for name in ("batch_000002_x", "batch_000001_x"):
+        write(tmp_path / "s", name, text=pa.array([name]))
+    files = corpus.list_stage_files(spark, str(tmp_path / "s")).collect()
+    assert [f.file_name for f in files] == ["batch_000001_x.parquet", "batch_000002_x.parquet"]
+    one = corpus.load_stage(spark, str(tmp_path / "s"), schemas.CORPUS, "batch_000002_x.parquet")
+    assert [r.text for r in one.collect()] == ["batch_000002_x"]
+    assert corpus.load_stage(spark, str(tmp_path / "s"), schemas.CORPUS).count() == 2
+
+
+def test_broken_json_is_set_aside(spark, tmp_path):
+    lines = ['{"id": 1, "text": "a"}', "{broken", '{"id": "x", "text": "b"}', '{"id": 2}', "[]", '{"id":3,"z":1}']
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    good, bad = stages.decode_stage(df, schemas.RAW)
+    assert sorted(r.id for r in good.collect()) == [1, 2, 3]
+    assert len(bad.collect()) == 3
+
+
+def test_stage_stream_round_trip(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "t", "x", 0.5, [1]), (2, None, "y", None, [])], schemas.RAW)
+    stages.encode_stage(rows).coalesce(1).write.text(str(tmp_path / "topic"))
+    good, bad = stages.read_stage_stream(spark, "text", schemas.RAW, path=str(tmp_path / "topic"))
+    assert good.isStreaming and bad.isStreaming
+    writer = stages.write_stage_stream(good, "text", str(tmp_path / "cp"), path=str(tmp_path / "next"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    again, _ = stages.decode_stage(spark.read.text(str(tmp_path / "next")), schemas.RAW)
+    assert sorted(again.collect()) == sorted(rows.collect())
+
+
+def test_landing(spark, tmp_path):
+    source, target, manifest = (str(tmp_path / n) for n in ("src", "dst", "manifest"))
+    for name in ("a", "b"):
+        write(tmp_path / "src", name, title=pa.array(["t"]), text=pa.array([name]))
+    (tmp_path / "src" / "bad.parquet").write_bytes(b"no parquet")
+    with pytest.raises(landing.LandingError) as error:
+        landing.land_new_files(spark, source, target, manifest)
+    assert error.value.failed == ["bad.parquet"]
+    write(tmp_path / "src", "bad", title=pa.array(["t"]), text=pa.array(["mended"]))
+    assert landing.land_new_files(spark, source, target, manifest) == ["bad.parquet"]
+    assert landing.land_new_files(spark, source, target, manifest) == []
+    landed = corpus.scan_corpus(spark, f"{target}/*")
+    assert [r.text for r in landed.orderBy("id").collect()] == ["a", "b", "mended"]
+
+
+def test_skip_landed(spark):
+    source = spark.createDataFrame([("a",), ("b",), ("c",)], "file_name string")
+    landed = spark.createDataFrame([("b",)], "file_name string")
+    assert sorted(r[0] for r in landing.skip_landed(source, landed, "file_name").collect()) == ["a", "c"]
+
+
+def test_shared_folder_is_the_named_one(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_folder(spark) == (named.rstrip("/") if named else shared_folder(spark))

@@ -6,7 +6,7 @@ compared with the one before it by the Jensen-Shannon distance of their topic sh
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicwake.functions.scalars import drift_magnitude, js_distance
@@ -16,6 +16,7 @@ WINDOW = 200
 THRESHOLD = 0.15
 TOPICS = 10
 _SMOOTH = 1e-10
+_BLOCK_BITS = 16
 
 
 def has_topic(topic_col: str) -> Column:
@@ -72,11 +73,19 @@ def window_histogram(
 def adjacent_windows(windows: DataFrame) -> DataFrame:
     """Each window with the shares of the one before it (null for the first).
 
-    A join on the window number rather than a lag: the windows grow with the corpus, and a lag over
-    all of them would run in one task.
+    The windows grow with the corpus, so the lag runs in blocks of 2^16 windows instead of over all of
+    them in one task; the last window of a block is sent to the next block too, to be looked back at.
     """
-    before = windows.select((F.col("window_id") + 1).alias("window_id"), F.col("dist").alias("previous_dist"))
-    return windows.join(before, "window_id", "left")
+    block = F.shiftright("window_id", _BLOCK_BITS)
+    at_end = F.shiftright(F.col("window_id") + 1, _BLOCK_BITS) > block
+    placed = windows.withColumn("_block", F.explode(F.when(at_end, F.array(block, block + 1)).otherwise(F.array(block))))
+    order = Window.partitionBy("_block").orderBy("window_id")
+    follows = F.lag("window_id").over(order) == F.col("window_id") - 1
+    return (
+        placed.withColumn("previous_dist", F.when(follows, F.lag("dist").over(order)))
+        .where(F.col("_block") == block)
+        .drop("_block")
+    )
 
 
 def judge_windows(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

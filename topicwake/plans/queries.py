@@ -13,7 +13,7 @@ from topicwake.operators import drift, ids, online_lda, topics, vocabulary
 from topicwake.operators.normalize import normalize_docs
 from topicwake.plans import reports
 from topicwake.plans.modeling import Params, analyse_docs, run_modeling
-from topicwake.session import materialize, new_table_path
+from topicwake.session import materialize, new_table_path, spread
 from topicwake.sources import corpus, landing, stage_tables
 from topicwake.streaming import jobs
 
@@ -37,7 +37,7 @@ def _clock() -> Column:
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     """documents as the raw stage; labels give the nullable score and score list."""
-    docs = corpus.spread(_table(spark, sf, "documents").select("doc_id", "text"))
+    docs = spread(_table(spark, sf, "documents").select("doc_id", "text"))
     joined = docs.join(_table(spark, sf, "labels"), "doc_id", "left").select(
         F.col("doc_id").alias("id"),
         F.substring_index("text", "\n", 1).alias("title"),
@@ -50,7 +50,7 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
 
 def clean(spark: SparkSession, sf: str) -> DataFrame:
     """documents with normalised text and both lengths."""
-    docs = corpus.spread(_table(spark, sf, "documents").select("doc_id", "text"))
+    docs = spread(_table(spark, sf, "documents").select("doc_id", "text"))
     untitled = docs.select(
         F.col("doc_id").alias("id"),
         F.lit("").alias("title"),
@@ -62,7 +62,7 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_texts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = corpus.spread(_table(spark, sf, "documents").select("doc_id", "text"))
+    docs = spread(_table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select(F.col("doc_id").alias("id"), normalize_text(F.col("text")).alias("text"))
 
 
@@ -157,7 +157,7 @@ def normalize_noisy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def normalize_pages(spark: SparkSession, sf: str) -> DataFrame:
-    pages = corpus.spread(_table(spark, sf, "pages").select("page_id", "html"))
+    pages = spread(_table(spark, sf, "pages").select("page_id", "html"))
     return pages.select("page_id", normalize_text(F.col("html")).alias("text")).withColumn(
         "text_length", F.length("text")
     )
@@ -181,14 +181,12 @@ def doc_term_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top_words(spark: SparkSession, sf: str) -> DataFrame:
-    docs = corpus.spread(_table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    docs = spread(_table(spark, sf, "documents").select("doc_id", "lang", "text"))
     words = vocabulary.tokens_of(
         docs.select(F.col("lang").alias("topic"), normalize_text(F.col("text")).alias("text"))
     )
     weights = (
-        words.select("topic", F.explode("tokens").alias("term"))
-        .groupBy("topic", "term")
-        .agg(F.count(F.lit(1)).alias("weight"))
+        vocabulary.exploded(words, "topic").groupBy("topic", "term").agg(F.count(F.lit(1)).alias("weight"))
     )
     return topics.top_terms(weights)
 

@@ -55,3 +55,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small scan over all cores before CPU-heavy work.
+
+    A few row groups, or documents of very unequal length in a few splits, keep a few tasks busy while
+    the other cores wait. A scan with three splits per core or more, as any large corpus has, is left
+    alone: no shuffle.
+    """
+    wanted = 3 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)

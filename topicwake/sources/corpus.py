@@ -126,16 +126,6 @@ def scan_corpus(
     return apply_defaults(numbered, columns, null_as_none).select(*schemas.RAW.fieldNames())
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small scan over all cores before CPU-heavy text work.
-
-    A few row groups give a few busy tasks. A scan with more splits than cores, as any large corpus
-    has, is left alone: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def list_stage_files(spark: SparkSession, path: str) -> DataFrame:
     """(file_name, file_path, file_size) of the parquet files of a stage, sorted by path."""
     listing = (
