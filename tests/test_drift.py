@@ -37,6 +37,8 @@ def run(spark, rows, k, window, dense=False):
     windows = drift.drift_windows(windowed, k=k, window=window)
     attached = drift.attach_drift(windowed, windows)
     per_row = {r.id: (r.window_id, r.drift_detected, r.js_divergence, r.drift_magnitude) for r in attached.collect()}
+    split = drift.attach_drift(windowed, windows, written=True)
+    assert {r.id: (r.window_id, r.drift_detected, r.js_divergence, r.drift_magnitude) for r in split.collect()} == per_row
     table = [
         (r.window_id, r.drift_detected, r.js_divergence, r.drift_magnitude)
         for r in windows.orderBy("window_id").collect()

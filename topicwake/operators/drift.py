@@ -122,22 +122,27 @@ def drift_windows(
     return judge_windows(adjacent_windows(complete), threshold)
 
 
-def attach_drift(rows: DataFrame, windows: DataFrame, id_col: str = "id") -> DataFrame:
+def attach_drift(rows: DataFrame, windows: DataFrame, id_col: str = "id", written: bool = False) -> DataFrame:
     """Write each window's result onto the row that closed it; all other rows get the neutral values.
 
-    Joined on the closing row's id: it spreads evenly if the sides are shuffled, and Spark broadcasts
-    the windows by itself while their measured size allows it.
+    ``rows`` come from :func:`count_windows`; ``is_closing`` is dropped. Only closing rows can have a
+    result. If the rows are a ``written`` table, reading it once for the closing rows and once for the
+    others lets the join move one row in ``window`` only, however many windows there are. Otherwise one
+    join on the closing row's id serves, where Spark broadcasts the windows while their size allows it.
     """
     results = windows.select(
         F.col("closing_id").alias(id_col), "drift_detected", "js_divergence", "drift_magnitude"
     )
-    return rows.join(results, id_col, "left").withColumns(
-        {
-            "drift_detected": F.coalesce("drift_detected", F.lit(False)),
-            "js_divergence": F.coalesce("js_divergence", F.lit(0.0)),
-            "drift_magnitude": F.coalesce("drift_magnitude", F.lit("none")),
-        }
-    )
+    neutral = {
+        "drift_detected": F.lit(False),
+        "js_divergence": F.lit(0.0),
+        "drift_magnitude": F.lit("none"),
+    }
+    if not written:
+        joined = rows.join(results, id_col, "left")
+        return joined.withColumns({n: F.coalesce(n, v) for n, v in neutral.items()}).drop("is_closing")
+    closing = rows.where("is_closing").join(results, id_col)
+    return rows.where(~F.col("is_closing")).withColumns(neutral).unionByName(closing).drop("is_closing")
 
 
 def drift_summary(windows: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from topicwake.session import materialize
 
-# A bucket spans 2^20 ids, so with unique ids it holds at most that many rows, whatever the data.
-_BITS = 20
+# A bucket spans 2^16 ids, so with unique ids it holds at most that many rows, whatever the data; a
+# block spans 2^24 buckets.
+_BUCKET_BITS = 16
+_BLOCK_BITS = 24
 
 
 def _sum_before(value: str, order: str, *partition: str) -> Column:
@@ -20,21 +22,23 @@ def _sum_before(value: str, order: str, *partition: str) -> Column:
     return F.coalesce(F.sum(value).over(window), F.lit(0))
 
 
-def _span(col: str) -> Column:
-    return F.coalesce(F.shiftright(col, _BITS), F.lit(0).cast("long"))
+def _span(col: str, bits: int) -> Column:
+    return F.coalesce(F.shiftright(col, bits), F.lit(0).cast("long"))
 
 
 def rows_before(df: DataFrame, id_col: str, counted: Column | None = None, name: str = "before") -> DataFrame:
     """Add how many ``counted`` rows (default: all) have a smaller id. Ids must be unique longs.
 
-    Totals of 2^20 ids are summed up to totals of 2^40 ids. The last, unpartitioned sum runs over the
+    Totals of 2^16 ids are summed up to totals of 2^40 ids. The last, unpartitioned sum runs over the
     latter: one row for a dense table of 10^12 rows, 2^23 rows for the most scattered ids possible.
     Rows move once, to their bucket. Buckets and blocks are declared non-null, so that Spark adds no
     null checks to one use of the totals and can compute them once for both.
     """
     hit = F.lit(1) if counted is None else F.when(counted, 1).otherwise(0)
-    keyed = df.withColumns({"_bucket": _span(id_col), "_hit": hit})
-    buckets = keyed.groupBy("_bucket").agg(F.sum("_hit").alias("_n")).withColumn("_block", _span("_bucket"))
+    keyed = df.withColumns({"_bucket": _span(id_col, _BUCKET_BITS), "_hit": hit})
+    buckets = keyed.groupBy("_bucket").agg(F.sum("_hit").alias("_n")).withColumn(
+        "_block", _span("_bucket", _BLOCK_BITS)
+    )
     blocks = buckets.groupBy("_block").agg(F.sum("_n").alias("_block_n"))
     block_offsets = blocks.select("_block", _sum_before("_block_n", "_block").alias("_block_offset"))
     offsets = buckets.join(block_offsets, "_block").select(

@@ -100,7 +100,7 @@ def analyse_docs(raw: DataFrame, params: Params = Params(), dense: bool = False)
     windows = materialize(
         drift.drift_windows(windowed, k=params.topics, window=params.window, threshold=params.threshold), "windows"
     )
-    modeled = modeled_record(drift.attach_drift(windowed, windows), params.model_version)
+    modeled = modeled_record(drift.attach_drift(windowed, windows, written=True), params.model_version)
     return Analysis(normalized, modeled, windows, model)
 
 

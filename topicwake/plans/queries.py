@@ -94,7 +94,7 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
         F.sequence(F.lit(0), F.lit(3)), lambda t: F.when(t == F.col("dominant_topic"), 1.0).otherwise(0.0)
     )
     fitted = F.col("dominant_topic") >= 0
-    rows = drift.attach_drift(windowed.drop("is_closing"), windows).select(
+    rows = drift.attach_drift(windowed, windows).select(
         "id",
         F.col("event_type").alias("title"),
         F.col("props").alias("text"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,25 +34,36 @@ def landed_files(spark: SparkSession, manifest: str) -> DataFrame:
 
 
 def land_new_files(
-    spark: SparkSession, source: str, target: str, manifest: str, schema: T.StructType = schemas.CORPUS
+    spark: SparkSession,
+    source: str,
+    target: str,
+    manifest: str,
+    schema: T.StructType = schemas.CORPUS,
+    at_once: int = 8,
 ) -> list[str]:
     """Copy the parquet files of ``source`` that the manifest does not name; returns the names landed.
 
-    One Spark job per file, the unit that succeeds or fails, written to a folder of that name below
-    ``target``. A file that fails does not stop the others: the landed ones are recorded, then the
-    failed ones are reported, and a rerun tries only these. A file written but not recorded, because
-    the driver died, is simply written again. Half-precision columns are copied as bytes if ``schema``
-    declares them binary.
+    One Spark job per file, the unit that succeeds or fails, ``at_once`` of them at a time, written to a
+    folder of that name below ``target``. A file that fails does not stop the others: the landed ones
+    are recorded, then the failed ones are reported, and a rerun tries only these. A file written but not
+    recorded, because the driver died, is simply written again. Half-precision columns are copied as
+    bytes if ``schema`` declares them binary.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(source)
     wanted = listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path")
-    done, failed = [], []
-    for row in skip_landed(wanted, landed_files(spark, manifest), "file_name").orderBy("file_name").toLocalIterator():
+    new = skip_landed(wanted, landed_files(spark, manifest), "file_name").orderBy("file_name")
+
+    def land(row: Row) -> tuple[str, bool]:
         try:
             spark.read.schema(schema).parquet(row.path).write.mode("overwrite").parquet(f"{target}/{row.file_name}")
-            done.append(row.file_name)
+            return row.file_name, True
         except Exception:
-            failed.append(row.file_name)
+            return row.file_name, False
+
+    with ThreadPoolExecutor(at_once) as pool:
+        outcomes = list(pool.map(land, new.toLocalIterator()))
+    done = [name for name, landed in outcomes if landed]
+    failed = [name for name, landed in outcomes if not landed]
     if done:
         spark.createDataFrame([(name,) for name in done], _MANIFEST).coalesce(1).write.mode("append").json(manifest)
     if failed:
