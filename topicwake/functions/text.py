@@ -7,6 +7,7 @@ Arrow-batched UDF that only receives the rows whose characters NFKC can change.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -78,21 +79,21 @@ def strip_noise(col: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(col, "[^a-z0-9]+", " "), "[0-9]+", "")
 
 
-def _without_stop_words(words: Column, shortest: int) -> Column:
-    return F.filter(words, lambda w: (F.length(w) >= shortest) & ~w.isin(*STOP_WORDS))
+def _kept(words: Column, shortest: int, stop_words: Sequence[str]) -> Column:
+    return F.filter(words, lambda w: (F.length(w) >= shortest) & ~w.isin(*stop_words))
 
 
-def normalize_text(col: Column) -> Column:
+def normalize_text(col: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Clean a text: lower case, NFKC, noise rules, stop words. Null and empty give an empty string.
 
     Punctuation never survives, so rules that would look for money, repeated marks, hyphens or years
     afterwards could not match and are left out.
     """
     clean = strip_noise(nfkc(F.lower(F.coalesce(col, F.lit("")))))
-    return F.array_join(_without_stop_words(F.split(clean, " "), 1), " ")
+    return F.array_join(_kept(F.split(clean, " "), 1, stop_words), " ")
 
 
-def tokenize(col: Column) -> Column:
+def tokenize(col: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """Words of two or more letters or digits, lower case, without stop words, in text order."""
     words = F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit(f"[{_WORD}]{{2,}}"), F.lit(0))
-    return _without_stop_words(words, 2)
+    return _kept(words, 2, stop_words)

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from topicwake.functions.stopwords import STOP_WORDS
 from topicwake.operators import drift, topics
 from topicwake.operators.normalize import normalize_docs
 from topicwake.operators.vocabulary import build_vocabulary, tokens_of, vectorize, vocabulary_terms
@@ -27,6 +28,7 @@ class Params:
     threshold: float = 0.15
     batch_size: int = 100
     model_version: str = MODEL_VERSION
+    stop_words: tuple[str, ...] = STOP_WORDS
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,7 @@ def fit_docs(docs: DataFrame, params: Params = Params()) -> topics.TopicModel |
     """
     if not topics.enough_docs(docs):
         return "Need at least 5 documents"
-    tokens = tokens_of(docs.select("id", "text")).select("id", "tokens")
+    tokens = tokens_of(docs.select("id", "text"), params.stop_words).select("id", "tokens")
     terms = vocabulary_terms(build_vocabulary(tokens, params.min_df, params.max_df, params.max_terms))
     if not terms:
         return "No terms remain in the vocabulary"
@@ -71,7 +73,7 @@ def score_docs(docs: DataFrame, model: topics.TopicModel | None, params: Params
     """``docs`` with dominant_topic, topic_distribution and top_words; all columns stay, no row moves."""
     if model is None:
         return topics.unfitted_scores(docs)
-    scored = topics.score_topics(model, vectorize(tokens_of(docs), model.terms))
+    scored = topics.score_topics(model, vectorize(tokens_of(docs, params.stop_words), model.terms))
     return topics.attach_top_words(scored, topics.topics_summary(model, params.top_words))
 
 
@@ -92,7 +94,7 @@ def analyse_docs(raw: DataFrame, params: Params = Params(), dense: bool = False)
     dense ids the rows never shuffle: windows are arithmetic, and only the window counts and, by their
     closing rows, the window results are exchanged.
     """
-    normalized = materialize(normalize_docs(raw), "normalized")
+    normalized = materialize(normalize_docs(raw, params.stop_words), "normalized")
     fitted = fit_docs(normalized, params)
     model = None if isinstance(fitted, str) else fitted
     scored = materialize(score_docs(normalized, model, params), "scored")

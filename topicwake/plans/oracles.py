@@ -6,6 +6,7 @@ from topicwake.functions.stopwords import STOP_WORDS
 from topicwake.plans.queries import ELIGIBLE_TYPES, EVENT_TYPES, NOISE_AFTER, NOISE_BEFORE, WINDOW
 
 _STOP = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
+# The normaliser's rules and their order.
 _MONTHS = (
     "january|february|march|april|may|june|july|august|september|october|november|december|"
     "jan|feb|mar|apr|jun|jul|aug|sep|oct|nov|dec"
