@@ -93,3 +93,10 @@ def test_heatmap_takes_the_first_documents(spark):
     df = spark.range(80).select("id", F.array(F.lit(0.25), F.lit(0.75)).alias("topic_distribution")).repartition(5)
     rows = reports.topic_heatmap(df).collect()
     assert len(rows) == 100 and {r.id for r in rows} == set(range(50)) and {r.topic for r in rows} == {0, 1}
+
+
+def test_reports_aggregate_without_sorting_the_rows(spark):
+    f = features(spark)
+    for report in (reports.overview, reports.window_stats_first, reports.window_stats, reports.topic_words_first):
+        plan = report(f)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate(key=[window_id" not in plan and "SortAggregate(key=[dominant_topic" not in plan

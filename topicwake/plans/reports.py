@@ -15,9 +15,23 @@ PAGE_SIZE = 10
 _SHALLOW = 10_000
 
 
-def _first(name: str, order: str = "id") -> Column:
+# The drift magnitudes.
+_MAGNITUDES = ("none", "low", "medium", "high")
+
+
+def _first(value: Column, order: str = "id") -> Column:
     """First non-null value in id order."""
-    return F.min_by(name, F.when(F.col(name).isNotNull(), F.col(order))).alias(name)
+    return F.min_by(value, F.when(value.isNotNull(), F.col(order)))
+
+
+def _magnitude_code() -> Column:
+    """Magnitudes as numbers: Spark can keep these in a hash table while it aggregates, whereas texts
+    would make it sort all rows first."""
+    return F.array_position(F.array(*map(F.lit, _MAGNITUDES)), F.col("drift_magnitude"))
+
+
+def _magnitude(code: str) -> Column:
+    return F.element_at(F.array(*map(F.lit, _MAGNITUDES)), F.col(code).cast("int"))
 
 
 def overview(features: DataFrame) -> DataFrame:
@@ -33,18 +47,16 @@ def overview(features: DataFrame) -> DataFrame:
         F.sum("normalized_length").alias("m"),
         F.count("normalized_length").alias("m_n"),
         F.bool_or("drift_detected").alias("drifted"),
-        F.min("id").alias("id"),
-        F.min_by("model_version", "id").alias("model_version"),
     )
+    version = features.agg(F.min_by("model_version", "id")).scalar()
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("records"),
         F.try_divide(F.sum("o"), F.sum("o_n")).alias("avg_original_length"),
         F.try_divide(F.sum("m"), F.sum("m_n")).alias("avg_normalized_length"),
-        F.min_by("model_version", "id").alias("model_version"),
         F.count_distinct("dominant_topic").alias("topics_detected"),
         F.count_distinct(F.when(F.col("drifted"), F.col("window_id"))).alias("drift_windows"),
         F.count_distinct("window_id").alias("windows"),
-    )
+    ).withColumn("model_version", version)
 
 
 def normalization_impact(docs: DataFrame) -> DataFrame:
@@ -81,12 +93,16 @@ def docs_per_topic(features: DataFrame) -> DataFrame:
 
 
 def topic_words_first(features: DataFrame, shown: int = 7) -> DataFrame:
-    """Per topic the first non-empty word list in id order."""
+    """Per topic the first non-empty word list in id order.
+
+    Finds the first row of each topic by number, then fetches its words: one row per topic to broadcast.
+    """
+    worded = features.where((F.col("dominant_topic") >= 0) & (F.size("top_words") > 0))
+    firsts = worded.groupBy("dominant_topic").agg(F.min("id").alias("id"))
     return (
-        features.where((F.col("dominant_topic") >= 0) & (F.size("top_words") > 0))
-        .groupBy("dominant_topic")
-        .agg(F.min_by("top_words", "id").alias("words"))
-        .select(F.col("dominant_topic").alias("topic"), first_words(F.col("words"), shown).alias("words"))
+        features.select("id", "dominant_topic", "top_words")
+        .join(F.broadcast(firsts), ["id", "dominant_topic"])
+        .select(F.col("dominant_topic").alias("topic"), first_words(F.col("top_words"), shown).alias("words"))
         .orderBy("topic")
     )
 
@@ -124,26 +140,39 @@ def window_topic_table(features: DataFrame, topics: list[int]) -> DataFrame:
     return _topic_tallies(features, topics).select("window_id", *shares)
 
 
-_STATS = ["js_divergence", "drift_detected", "drift_magnitude"]
-
-
 def window_stats_first(features: DataFrame) -> DataFrame:
     """Per window the values of its first row, as the dashboard shows them. Results are written on the
     closing row, so these are the neutral values unless a window has one row; see :func:`window_stats`."""
-    return features.groupBy("window_id").agg(*[_first(c) for c in _STATS])
+    return (
+        features.groupBy("window_id")
+        .agg(
+            _first(F.col("js_divergence")).alias("js_divergence"),
+            _first(F.col("drift_detected")).alias("drift_detected"),
+            _first(_magnitude_code()).alias("code"),
+        )
+        .select("window_id", "js_divergence", "drift_detected", _magnitude("code").alias("drift_magnitude"))
+    )
 
 
 def window_stats(features: DataFrame) -> DataFrame:
     """Per window the values of its last row with a topic: the result, once the window is complete."""
     closing = F.when(F.col("dominant_topic") >= 0, F.col("id"))
-    return features.groupBy("window_id").agg(*[F.max_by(c, closing).alias(c) for c in _STATS])
+    return (
+        features.groupBy("window_id")
+        .agg(
+            F.max_by("js_divergence", closing).alias("js_divergence"),
+            F.max_by("drift_detected", closing).alias("drift_detected"),
+            F.max_by(_magnitude_code(), closing).alias("code"),
+        )
+        .select("window_id", "js_divergence", "drift_detected", _magnitude("code").alias("drift_magnitude"))
+    )
 
 
 def avg_js(features: DataFrame) -> DataFrame:
     """Mean distance over windows, by first and by closing row."""
     closing = F.when(F.col("dominant_topic") >= 0, F.col("id"))
     per_window = features.groupBy("window_id").agg(
-        _first("js_divergence").alias("first_js"), F.max_by("js_divergence", closing).alias("closing_js")
+        _first(F.col("js_divergence")).alias("first_js"), F.max_by("js_divergence", closing).alias("closing_js")
     )
     return per_window.agg(F.avg("first_js").alias("avg_js"), F.avg("closing_js").alias("avg_js_closing"))
 
@@ -157,7 +186,8 @@ def drift_event_log(features: DataFrame) -> DataFrame:
     return (
         drift_rows(features)
         .groupBy("window_id")
-        .agg(_first("js_divergence"), _first("drift_magnitude"))
+        .agg(_first(F.col("js_divergence")).alias("js_divergence"), _first(_magnitude_code()).alias("code"))
+        .select("window_id", "js_divergence", _magnitude("code").alias("drift_magnitude"))
         .orderBy("window_id")
     )
 
