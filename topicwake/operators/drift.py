@@ -126,9 +126,10 @@ def attach_drift(rows: DataFrame, windows: DataFrame, id_col: str = "id", writte
     """Write each window's result onto the row that closed it; all other rows get the neutral values.
 
     ``rows`` come from :func:`count_windows`; ``is_closing`` is dropped. Only closing rows can have a
-    result. If the rows are a ``written`` table, reading it once for the closing rows and once for the
-    others lets the join move one row in ``window`` only, however many windows there are. Otherwise one
-    join on the closing row's id serves, where Spark broadcasts the windows while their size allows it.
+    result. If the rows are a map over a ``written`` table, reading it once for the closing rows and once
+    for the others lets the join move one row in ``window`` only, however many windows there are.
+    Otherwise one join on the closing row's id serves, where Spark broadcasts the windows while their
+    size allows it.
     """
     results = windows.select(
         F.col("closing_id").alias(id_col), "drift_detected", "js_divergence", "drift_magnitude"

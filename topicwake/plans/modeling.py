@@ -98,11 +98,12 @@ def analyse_docs(raw: DataFrame, params: Params = Params(), dense: bool = False)
     fitted = fit_docs(normalized, params)
     model = None if isinstance(fitted, str) else fitted
     scored = materialize(score_docs(normalized, model, params), "scored")
-    windowed = drift.count_windows(scored, window=params.window, dense=dense and model is not None)
+    dense = dense and model is not None
+    windowed = drift.count_windows(scored, window=params.window, dense=dense)
     windows = materialize(
         drift.drift_windows(windowed, k=params.topics, window=params.window, threshold=params.threshold), "windows"
     )
-    modeled = modeled_record(drift.attach_drift(windowed, windows, written=True), params.model_version)
+    modeled = modeled_record(drift.attach_drift(windowed, windows, written=dense), params.model_version)
     return Analysis(normalized, modeled, windows, model)
 
 

@@ -86,6 +86,14 @@ feat as (select r.id, r.props as text, r.event_type title, r.value score,
   coalesce(dw.drift_magnitude, 'none') drift_magnitude
   from r left join dw on r.window_id = dw.window_id and r.is_closing)"""
 
+_SPARSE = f"""with {_DRIFT} select id, case when topic >= 0 then event_type else '' end title,
+  case when topic >= 0 then props else '' end as text, case when topic >= 0 then value else 0.0 end score,
+  case when topic >= 0 then cast(floor(value * 10) as integer) else 0 end original_length,
+  case when topic >= 0 then cast(floor(value * 6) as integer) else 0 end normalized_length,
+  'sklearn-lda-v1' model_version, cast(topic as integer) dominant_topic, '' as topic_distribution,
+  case when topic >= 0 then event_type else '' end top_words, case when topic >= 0 then id else 0 end window_id,
+  topic >= 0 as drift_detected, cast(0.0 as double) js_divergence, 'none' as drift_magnitude from t"""
+
 _TOPIC_COLUMNS = ", ".join(
     f"round(count(*) filter (where dominant_topic = {t}) / count(*), 6) as topic_{'none' if t < 0 else t}"
     for t in (-1, 0, 1, 2, 3)
@@ -138,13 +146,13 @@ select count(*) total_windows, count(*) filter (where drift_detected) drift_even
     "last_drift_events": f"""with {_DRIFT} select window_id, js_divergence, drift_magnitude as magnitude from dw
 where drift_detected order by window_id desc limit 10""",
     "stream_drift": f"with {_DRIFT} select * from dw",
-    "modeled_record": f"""with {_DRIFT} select id, case when topic >= 0 then event_type else '' end title,
-  case when topic >= 0 then props else '' end as text, case when topic >= 0 then value else 0.0 end score,
-  case when topic >= 0 then cast(floor(value * 10) as integer) else 0 end original_length,
-  case when topic >= 0 then cast(floor(value * 6) as integer) else 0 end normalized_length,
-  'sklearn-lda-v1' model_version, cast(topic as integer) dominant_topic, '' as topic_distribution,
-  case when topic >= 0 then event_type else '' end top_words, case when topic >= 0 then id else 0 end window_id,
-  topic >= 0 as drift_detected, cast(0.0 as double) js_divergence, 'none' as drift_magnitude from t""",
+    "stream_normalize": f"with {_CLEAN} select id, text, original_length, normalized_length from lens",
+    "modeled_record": _SPARSE,
+    "stream_sink": _SPARSE,
+    "write_stages": f"""with {_FEATURES}, bt as (select id, normalized_length,
+  (row_number() over (order by id) - 1) // 100 + 1 as batch_num from feat)
+select batch_num, cast(sum(normalized_length) as bigint) chars, '20240102_030405' as timestamp, count(*) record_count,
+  min(id) id_range_min, max(id) id_range_max from bt group by batch_num""",
     "split_raw": f"with {_RAW} select id, title, text, score, reddit_scores from raw",
     "split_processed": f"with {_FEATURES} select id, text, original_length, normalized_length, score from feat",
     "split_features": f"with {_FEATURES} select * from feat",

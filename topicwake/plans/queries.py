@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicwake import schemas
 from topicwake.functions import scalars
 from topicwake.functions.text import normalize_text
 from topicwake.operators import drift, ids, online_lda, topics, vocabulary
@@ -48,17 +49,19 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.apply_defaults(joined)
 
 
-def clean(spark: SparkSession, sf: str) -> DataFrame:
-    """documents with normalised text and both lengths."""
-    docs = spread(_table(spark, sf, "documents").select("doc_id", "text"))
-    untitled = docs.select(
+def _untitled(documents: DataFrame) -> DataFrame:
+    return documents.select(
         F.col("doc_id").alias("id"),
         F.lit("").alias("title"),
         "text",
         F.lit(0.0).alias("score"),
         F.array().cast("array<bigint>").alias("reddit_scores"),
     )
-    return normalize_docs(untitled)
+
+
+def clean(spark: SparkSession, sf: str) -> DataFrame:
+    """documents with normalised text and both lengths."""
+    return normalize_docs(_untitled(spread(_table(spark, sf, "documents").select("doc_id", "text"))))
 
 
 def clean_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,14 +73,18 @@ def clean_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return vocabulary.tokens_of(clean_texts(spark, sf)).select("id", "tokens")
 
 
-def topic_events(spark: SparkSession, sf: str, types: list[str] = ELIGIBLE_TYPES) -> DataFrame:
+def _topics_of(events: DataFrame, types: list[str]) -> DataFrame:
     """events as scored rows: the topic is the place of the event type, or -1."""
     place = F.array_position(F.array(*map(F.lit, types)), F.col("event_type")) - 1
-    return _table(spark, sf, "events").select(
+    return events.select(
         F.col("event_id").alias("id"), "event_type", "value", "props", place.cast("int").alias("dominant_topic")
     )
 
 
+def topic_events(spark: SparkSession, sf: str, types: list[str] = ELIGIBLE_TYPES) -> DataFrame:
+    return _topics_of(_table(spark, sf, "events"), types)
+
+
 def windowed_events(spark: SparkSession, sf: str, types: list[str] = ELIGIBLE_TYPES) -> DataFrame:
     return drift.count_windows(topic_events(spark, sf, types).select("id", "dominant_topic"), window=WINDOW)
 
@@ -286,25 +293,43 @@ def last_drift_events(spark: SparkSession, sf: str) -> DataFrame:
     return drift.last_drift_events(event_windows(spark, sf))
 
 
+def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table as a file stream."""
+    schema = _table(spark, sf, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """The events as a file stream, drained; the drift table it leaves."""
-    schema = _table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    place = F.array_position(F.array(*map(F.lit, ELIGIBLE_TYPES)), F.col("event_type")) - 1
-    scored = stream.select(F.col("event_id").alias("id"), place.cast("int").alias("dominant_topic"))
+    """The events as a stream, drained; the drift table it leaves."""
+    scored = _topics_of(_stream(spark, sf, "events"), ELIGIBLE_TYPES).select("id", "dominant_topic")
     out = new_table_path(spark, "stream-drift")
     jobs.drain(jobs.stream_drift(scored, out, f"{out}/checkpoint", Params(window=WINDOW)))
     return spark.read.parquet(f"{out}/windows").drop("closing_id", "batch_id")
 
 
+def stream_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as a stream, drained; the normalised table it leaves."""
+    out = new_table_path(spark, "stream-normalize")
+    jobs.drain(jobs.stream_normalize(_untitled(_stream(spark, sf, "documents")), f"{out}/normalized", f"{out}/checkpoint"))
+    rows = spark.read.schema(schemas.NORMALIZED).parquet(f"{out}/normalized")
+    return rows.select("id", "text", "original_length", "normalized_length")
+
+
+def stream_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Modeled events as a stream, drained into the stage tables; FEATURES as written."""
+    modeled = stage_tables.modeled_record(_sparse(_topics_of(_stream(spark, sf, "events"), ELIGIBLE_TYPES)))
+    out = new_table_path(spark, "stream-sink")
+    jobs.drain(jobs.stream_sink(modeled, out, f"{out}/checkpoint"))
+    return _flat(spark.read.parquet(f"{out}/FEATURES").drop("batch_id"))
+
+
 # ---- sinks ----
 
 
-def modeled_record(spark: SparkSession, sf: str) -> DataFrame:
+def _sparse(rows: DataFrame) -> DataFrame:
     """Records with absent values: rows without a topic come without results."""
-    rows = topic_events(spark, sf)
     known = F.col("dominant_topic") >= 0
-    sparse = rows.select(
+    return rows.select(
         F.col("id").cast("int").alias("id"),
         F.when(known, F.col("event_type")).alias("title"),
         F.when(known, F.col("props")).alias("text"),
@@ -319,7 +344,21 @@ def modeled_record(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("double").alias("js_divergence"),
         F.lit(None).cast("string").alias("drift_magnitude"),
     )
-    return _flat(stage_tables.modeled_record(sparse))
+
+
+def modeled_record(spark: SparkSession, sf: str) -> DataFrame:
+    return _flat(stage_tables.modeled_record(_sparse(topic_events(spark, sf))))
+
+
+def write_stages(spark: SparkSession, sf: str) -> DataFrame:
+    """The stage tables of the events, written; PROCESSED as read back, next to its batch in METADATA."""
+    out = new_table_path(spark, "stages")
+    stage_tables.write_stages(materialize(features(spark, sf), "features"), out, _clock())
+    rows = spark.read.parquet(f"{out}/PROCESSED")
+    manifest = spark.read.schema(schemas.MANIFEST).json(f"{out}/METADATA")
+    batches = stage_tables.numbered_batches(rows.select("id", "normalized_length"))
+    totals = batches.groupBy("batch_num").agg(F.sum("normalized_length").alias("chars"))
+    return totals.join(manifest, "batch_num")
 
 
 def split_raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,7 +382,12 @@ def batch_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def overview(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(reports.overview(features(spark, sf)), "avg_original_length", "avg_normalized_length")
+    stage = materialize(features(spark, sf), "features")
+    return _rounded(reports.overview(stage), "avg_original_length", "avg_normalized_length")
+
+
+def topic_words_first(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.topic_words_first(materialize(features(spark, sf), "features"))
 
 
 def normalization_impact(spark: SparkSession, sf: str) -> DataFrame:
@@ -439,7 +483,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_summary": drift_summary,
     "last_drift_events": last_drift_events,
     "stream_drift": stream_drift,
+    "stream_normalize": stream_normalize,
+    "stream_sink": stream_sink,
     "modeled_record": modeled_record,
+    "write_stages": write_stages,
     "split_raw": split_raw,
     "split_processed": split_processed,
     "split_features": split_features,
@@ -449,7 +496,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lengths_long": lengths_long,
     "length_boxplot": length_boxplot,
     "docs_per_topic": on_features(reports.docs_per_topic),
-    "topic_words_first": on_features(reports.topic_words_first),
+    "topic_words_first": topic_words_first,
     "topic_heatmap": topic_heatmap,
     "window_topic_share": window_topic_share,
     "window_topic_table": window_topic_table,

@@ -43,7 +43,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/topicwake/{name}-{uuid.uuid4().hex}"
+    """A fresh path below one folder per application, which may be deleted once that has ended."""
+    return f"{shared_folder(spark)}/topicwake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -60,9 +61,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small scan over all cores before CPU-heavy work.
 
-    A few row groups, or documents of very unequal length in a few splits, keep a few tasks busy while
-    the other cores wait. A scan with three splits per core or more, as any large corpus has, is left
-    alone: no shuffle.
+    A few row groups keep a few tasks busy while the other cores wait. A scan with a split per core or
+    more, as any large corpus has, is left alone: no shuffle.
     """
-    wanted = 3 * df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(3 * cores)
