@@ -120,5 +120,14 @@ def analyse_corpus(
     """The whole run: scan the corpus folder, analyse it, write the stage tables below ``target``."""
     raw = scan_corpus(spark, source, float16_cols, columns, max_rows)
     analysis = analyse_docs(raw, params, dense=True)
-    write_stages(analysis.modeled, target, clock, raw, source, params.batch_size, dense=True)
+    write_stages(
+        analysis.modeled,
+        target,
+        clock,
+        raw=raw,
+        normalized=analysis.normalized,
+        source=source,
+        batch_size=params.batch_size,
+        dense=True,
+    )
     return analysis

@@ -96,11 +96,14 @@ def features_table(modeled: DataFrame) -> DataFrame:
     return modeled.select(*[F.coalesce(n, defaults[n]).alias(n) if n in defaults else n for n in _FEATURES])
 
 
-def split_stages(modeled: DataFrame, raw: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The three tables. RAW comes from the raw stage where it is given, so it holds the real texts."""
+def split_stages(
+    modeled: DataFrame, raw: DataFrame | None = None, normalized: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The three tables. RAW and PROCESSED come from their own stages where these are given: RAW then
+    holds the real texts, and PROCESSED does without topics and drift."""
     return {
         "raw": raw_table(modeled if raw is None else raw),
-        "processed": processed_table(modeled),
+        "processed": processed_table(modeled if normalized is None else normalized),
         "features": features_table(modeled),
     }
 
@@ -135,6 +138,7 @@ def write_stages(
     path: str,
     clock: Column,
     raw: DataFrame | None = None,
+    normalized: DataFrame | None = None,
     source: str | None = None,
     batch_size: int = BATCH_SIZE,
     partition: str = "",
@@ -150,7 +154,7 @@ def write_stages(
     """
     if source is not None and _overlaps(source, path):
         raise ValueError("the stage tables must not be written into the corpus folder")
-    for name, table in split_stages(modeled, raw).items():
+    for name, table in split_stages(modeled, raw, normalized).items():
         table.write.mode("overwrite").parquet(_below(path, name.upper(), partition))
     ids = (modeled if raw is None else raw).select("id")
     if batch_num is None:
