@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folder: str | None = None
-
 
 def local_session(name: str = "topicwake", cpus: int | str = 8) -> SparkSession:
     """Session for tests and the benchmark; on a cluster the caller brings its own."""
@@ -26,20 +23,13 @@ def local_session(name: str = "topicwake", cpus: int | str = 8) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can read, named by ``spark.checkpoint.dir``.
+    """Folder every executor can read: ``spark.checkpoint.dir``, or one beside the warehouse where that is unset.
 
-    Only a local master may fall back to a temporary folder of its own: on a cluster such a folder
-    would exist on one machine only and be lost with it.
+    The warehouse is a Hadoop path that all executors write tables to, so a table there survives the
+    machine that wrote it, unlike a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    global _own_folder
-    if _own_folder is None:
-        _own_folder = tempfile.mkdtemp(prefix="topicwake-")
-    return _own_folder
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_topicwake"
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
