@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicwake.llm.minhash import near_duplicates
 from topicwake.llm.packing import pack
 from topicwake.llm.token_counts import token_counts
 from topicwake.llm.token_file import read_token_files, write_token_files
@@ -16,6 +17,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf, "documents"), shingle=4, percent=80)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
@@ -29,5 +34,5 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op7_best_fit_packing, op8_token_files, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op5_minhash_near_dedup, op7_best_fit_packing, op8_token_files, op10_token_counts)}
 ORACLES: dict[str, str] = {}
