@@ -10,6 +10,7 @@ from topicwake.llm.minhash import near_duplicates
 from topicwake.llm.packing import pack
 from topicwake.llm.token_counts import token_counts
 from topicwake.llm.token_file import read_token_files, write_token_files
+from topicwake.llm.topk import exact_top_k
 from topicwake.session import new_table_path
 
 
@@ -30,9 +31,31 @@ def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return read_token_files(write_token_files(docs, path, end_id=1, folder=new_table_path(spark, "ids")))
 
 
+def op9_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_top_k(_table(spark, sf, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op5_minhash_near_dedup, op7_best_fit_packing, op8_token_files, op10_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op5_minhash_near_dedup, op7_best_fit_packing, op8_token_files, op9_exact_top_k, op10_token_counts)}
+ORACLES: dict[str, str] = {
+    "op9_exact_top_k": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id,
+                cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+            from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+        ), ranked as (
+            select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+                vec_id, score
+            from scored
+        )
+        select * from ranked where rank <= 5
+    """,
+}
