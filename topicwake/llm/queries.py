@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from topicwake.llm.minhash import near_duplicates
 from topicwake.llm.packing import pack
+from topicwake.llm.quality import quality
+from topicwake.llm.suffix_dedup import suffix_array_dedup
 from topicwake.llm.token_counts import token_counts
 from topicwake.llm.token_file import read_token_files, write_token_files
 from topicwake.llm.topk import exact_top_k
+from topicwake.llm.toxicity import toxicity
 from topicwake.session import new_table_path
 
 
@@ -18,10 +21,30 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_array_dedup(_table(spark, sf, "documents"), depth=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"), shingle=4, percent=80)
 
 
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
@@ -39,7 +62,19 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op5_minhash_near_dedup, op7_best_fit_packing, op8_token_files, op9_exact_top_k, op10_token_counts)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup,
+        op3_toxicity,
+        op5_minhash_near_dedup,
+        op6_quality,
+        op7_best_fit_packing,
+        op8_token_files,
+        op9_exact_top_k,
+        op10_token_counts,
+    )
+}
 ORACLES: dict[str, str] = {
     "op9_exact_top_k": """
         with v as (
