@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicwake.llm.decontaminate import benchmark_passages
 from topicwake.llm.minhash import near_duplicates
 from topicwake.llm.packing import pack
 from topicwake.llm.quality import quality
@@ -37,6 +38,10 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return benchmark_passages(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"), shingle=4, percent=80)
 
@@ -67,6 +72,7 @@ QUERIES = {
     for f in (
         op1_suffix_array_dedup,
         op3_toxicity,
+        op4_benchmark_decontamination,
         op5_minhash_near_dedup,
         op6_quality,
         op7_best_fit_packing,
