@@ -10,6 +10,7 @@ from topicwake.llm.decontaminate import benchmark_passages
 from topicwake.llm.minhash import near_duplicates
 from topicwake.llm.packing import pack
 from topicwake.llm.quality import quality
+from topicwake.llm.substring_dedup import substring_dedup
 from topicwake.llm.suffix_dedup import suffix_array_dedup
 from topicwake.llm.token_counts import token_counts
 from topicwake.llm.token_file import read_token_files, write_token_files
@@ -34,6 +35,20 @@ def op1_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = substring_dedup(_table(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("spans").cast("long").alias("n_spans"),
+        removed.alias("n_removed"),
+        F.transform("spans", lambda s: s["start"]).alias("starts"),
+        F.transform("spans", lambda s: s["end"]).alias("ends"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
@@ -71,6 +86,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup,
+        op2_substring_dedup,
         op3_toxicity,
         op4_benchmark_decontamination,
         op5_minhash_near_dedup,

@@ -18,7 +18,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicwake.llm.bloom import key_filter
+from topicwake.llm.bloom import KeyFilter, key_filter
 from topicwake.llm.jobs import Batches, map_arrow
 from topicwake.llm.suffixes import join, share_with_neighbour, sort_suffixes
 from topicwake.llm.text import U64, blocks, mix, ragged, rolling
@@ -70,7 +70,7 @@ def _tag(key: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _context_rows(df: DataFrame, depth: int) -> DataFrame:
+def _context_rows(df: DataFrame, depth: int, only: KeyFilter | None = None) -> DataFrame:
     """(key, ctx, pid, at); ``at`` packs 16 bits of the text's hash, 32 of the first window, 8 and 8 of windows and anchor."""
 
     def find(batches: Batches) -> Batches:
@@ -80,10 +80,11 @@ def _context_rows(df: DataFrame, depth: int) -> DataFrame:
                 text, first, number, anchor, key, ctx = contexts(data, offsets, depth)
                 start = first - offsets[:-1][text]
                 at = (th[lo + text] << 48) | (start << 16) | (number << 8) | (anchor - first)
-                yield pa.record_batch(
-                    [pa.array(_tag(key)), pa.array(_tag(ctx)), pa.array(pid[lo + text]), pa.array(at)],
-                    names=["key", "ctx", "pid", "at"],
-                )
+                columns = [_tag(key), _tag(ctx), pid[lo + text], at]
+                if only is not None:
+                    keep = only.test(columns[0])
+                    columns = [c[keep] for c in columns]
+                yield pa.record_batch([pa.array(c) for c in columns], names=["key", "ctx", "pid", "at"])
 
     return map_arrow(df.select("pid", "th", "text"), find, "key long, ctx long, pid long, at long")
 
@@ -92,7 +93,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame, depth: int) -> DataFrame:
     """(key, n, m, pid, at, bytes) of the wanted contexts (key, n, m, pid, at); texts without any stay where they are."""
     lists = wanted.groupBy("pid", F.shiftright("at", 48).alias("th")).agg(F.collect_list(F.struct("key", "n", "m", "at")).alias("c"))
     keep = key_filter(wanted.select("pid"))
-    rows = docs.where(keep("pid")).dropDuplicates(["pid", "th"]).join(lists, ["pid", "th"])
+    rows = docs.where(keep.column("pid")).dropDuplicates(["pid", "th"]).join(lists, ["pid", "th"])
 
     def cut(batches: Batches) -> Batches:
         for batch in batches:
@@ -236,9 +237,9 @@ def _whole(rows: DataFrame, depth: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, depth: int) -> DataFrame:
     """(pid, th, lo, hi): byte ranges covered by strings of ``depth`` bytes that start elsewhere too; they may overlap."""
-    rows = _context_rows(docs, depth)
-    often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    found = materialize(rows.join(often, "key"), "anchors")
+    counts = _context_rows(docs, depth).groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    often = materialize(counts.where("c > 1").select("key"), "anchor-counts")
+    found = materialize(_context_rows(docs, depth, key_filter(often)).join(often, "key"), "anchors")
     equal = found.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("pid", "at")).alias("one"))
     kinds = equal.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     groups = materialize(equal.join(kinds, "key").select("key", "ctx", "n", "m", "one.pid", "one.at"), "contexts")
@@ -315,8 +316,8 @@ def suffix_array_dedup(df: DataFrame, depth: int = 200, id_col: str = "doc_id",
 
     schema = "id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
     raw = F.col("text").cast("binary")
-    some = docs.where(touched("pid")).join(merged, ["pid", "th"], "left").select("id", raw.alias("raw"), "found")
+    some = docs.where(touched.column("pid")).join(merged, ["pid", "th"], "left").select("id", raw.alias("raw"), "found")
     changed = map_arrow(some, apply, schema)
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    rest = docs.where(~touched("pid")).select("id", F.octet_length(raw).cast("long").alias("n_bytes"), none.alias("spans"), raw.alias("kept"))
+    rest = docs.where(~touched.column("pid")).select("id", F.octet_length(raw).cast("long").alias("n_bytes"), none.alias("spans"), raw.alias("kept"))
     return changed.unionByName(rest).withColumnRenamed("id", id_col)
