@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicwake.llm.bloom import key_filter
 from topicwake.llm.components import components, forest
 from topicwake.llm.jobs import Batches, map_arrow, ship
 from topicwake.llm.superminhash import band_keys, signatures
@@ -102,8 +103,9 @@ def clusters(reps: DataFrame) -> DataFrame:
     that every two members of a bucket are in a cluster together, most of them once.
     """
     entries = reps.select("id", F.explode("keys").alias("key"))
-    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    entries = materialize(entries.join(sizes, "key"), "buckets")
+    sizes = materialize(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "band-counts")
+    shared = key_filter(sizes.select("key"))  # most buckets of a large table have one member and need not move
+    entries = materialize(entries.where(shared.column("key")).join(sizes, "key"), "buckets")
     popular = entries.groupBy("id").agg(F.sum("c").alias("p"))
     hubs = entries.join(popular, "id").groupBy("key").agg(F.max(F.struct("p", -F.col("id"))).alias("top"))
     hubs = hubs.select("key", (-F.col("top.col2")).alias("hub"))
@@ -157,7 +159,8 @@ def near_duplicates(
         F.greatest("own", "other").alias("b"),
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
     )
-    texts = placed.join(docs.where("id is not null"), "id").select("hub", "a", "b", "side", "id", "text")
+    wanted = key_filter(members.select("id"))
+    texts = placed.join(docs.where("id is not null").where(wanted.column("id")), "id").select("hub", "a", "b", "side", "id", "text")
     links = texts.groupBy("hub", "a", "b").applyInArrow(_verify(shingle, percent), "u long, v long")
     found = components(copies.unionByName(links))
     rows = table.join(found, table.id == found.node, "left")
