@@ -114,5 +114,18 @@ def test_summary_and_last_events(spark):
         [(i, i, 0.3 if i % 2 else 0.0, bool(i % 2), "high" if i % 2 else "none") for i in range(40)],
         "window_id long, closing_id long, js_divergence double, drift_detected boolean, drift_magnitude string",
     )
-    assert tuple(drift.drift_summary(windows).first()) == (40, 20)
-    assert [r.window_id for r in drift.last_drift_events(windows).collect()] == list(range(39, 19, -2))
+    clock = F.timestamp_seconds(F.lit(1704164645))
+    summary = drift.drift_summary(windows, clock=clock).first()
+    assert summary[:2] == (40, 20) and [e.window_id for e in summary.drift_events] == list(range(21, 41, 2))
+    assert tuple(summary.drift_events[0]) == (21, 0.3, "high", "2024-01-02T03:04:05.000000")
+    assert [r.window_id for r in drift.last_drift_events(windows).collect()] == list(range(21, 41, 2))
+    assert drift.drift_summary(windows.where("window_id < 0")).first().asDict() == {
+        "total_windows": 0, "drift_events_count": 0, "drift_events": [],
+    }
+
+
+def test_a_gap_in_dense_ids_loses_no_row(spark):
+    df = spark.createDataFrame([(i, 0) for i in range(12) if i != 7], "id long, dominant_topic int")
+    windowed = drift.count_windows(df, window=4, dense=True)
+    windows = drift.drift_windows(windowed, window=4)
+    assert drift.attach_drift(windowed, windows, written=True).count() == 11

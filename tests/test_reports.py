@@ -7,15 +7,24 @@ from topicwake.functions import scalars
 from topicwake.plans import reports
 
 
-def test_pages(spark, monkeypatch):
+def test_pages(spark):
     df = spark.range(25).select("id", F.concat(F.lit("t"), "id").alias("text"))
     assert [r.id for r in reports.page(df, 3).collect()] == [20, 21, 22, 23, 24]
     assert reports.page(df, 4).count() == 0
     assert tuple(reports.pages(df).first()) == (25, 3)
     assert tuple(reports.pages(df.where("id < 0")).first()) == (0, 1)
     assert tuple(reports.pages(df.where("id < 20")).first()) == (20, 2)
-    monkeypatch.setattr(reports, "_SHALLOW", 5)
-    assert sorted(r.id for r in reports.page(df, 2).collect()) == list(range(10, 20))
+    assert [r.id for r in reports.page(df, 2).collect()] == list(range(10, 20))
+    texts = spark.range(30_000).select(F.format_string("k%06d", F.col("id")).alias("id")).repartition(7)
+    assert [r.id for r in reports.page(texts, 1500).collect()] == [f"k{i:06d}" for i in range(14_990, 15_000)]
+
+
+def test_page_record(spark):
+    one = features(spark).withColumn("text", F.lit("z" * 600))
+    row = reports.text_page(one, 1).collect()[4]
+    assert row.asDict() == {
+        "id": 4, "dominant_topic": 0, "original_length": 4, "normalized_length": 2, "words": "r, s", "snippet": "z" * 500 + "...",
+    }
 
 
 def test_sample(spark):
@@ -80,6 +89,9 @@ def test_feature_reports(spark):
     assert shares[0, 2] == pytest.approx(2 / 3) and shares[1, 0] == 1.0 and shares[0, 1] == 0.0
     wide = {r.window_id: r.topic_2 for r in reports.window_topic_table(f, [-1, 0, 2]).collect()}
     assert wide == {0: pytest.approx(2 / 3), 1: 0.0}
+    found = reports.window_topic_share(f, [0, 1]).collect()  # topics that are not listed stay
+    assert {r.topic for r in found} == {-1, 0, 1, 2} and sum(r.share for r in found) == pytest.approx(2)
+    assert reports.window_topic_table(f).columns == ["window_id", "topic_-1", "topic_0", "topic_2"]
 
 
 def test_overview_of_nothing(spark):

@@ -71,11 +71,30 @@ def test_float16(spark, tmp_path):
     values = [1.5, -0.25, 65504.0, 6e-8, 0.0, 3e-5, 0.1, float("inf")]
     halves = pa.array([np.float16(v) for v in values] + [None], pa.float16())
     write(tmp_path / "s", "a", text=pa.array(["x"] * 9), score=halves)
-    df = corpus.scan_corpus(spark, str(tmp_path / "s"), float16_cols=("score",), columns=["text", "score"])
+    df = corpus.scan_corpus(spark, str(tmp_path / "s"))
     got = [r.score for r in df.orderBy("id").collect()]
     assert got == [float(np.float16(v)) for v in values] + [0.0]
-    with pytest.raises(ValueError, match="float16"):
-        corpus.scan_corpus(spark, str(tmp_path / "s"))
+
+
+def test_each_file_has_its_own_columns(spark, tmp_path):
+    src = tmp_path / "s"
+    write(src, "a", text=pa.array(["one", None]))
+    write(src, "b", title=pa.array(["T", None]), text=pa.array(["two", "three"]), score=pa.array([7.0, None], pa.float32()))
+    write(src, "c", text=pa.array(["four"]), score=pa.array([np.float16(1.5)], pa.float16()))
+    write(src, "d", text=pa.array(["five"]), score=pa.array([2.25], pa.float64()), reddit_scores=pa.array([[3]], pa.list_(pa.int32())))
+    rows = corpus.scan_corpus(spark, str(src)).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [
+        (0, "", "one", 0.0, []),
+        (1, "", "None", 0.0, []),
+        (2, "T", "two", 7.0, []),
+        (3, "None", "three", 0.0, []),
+        (4, "", "four", 1.5, []),
+        (5, "", "five", 2.25, [3]),
+    ]
+    assert [r.text for r in corpus.scan_corpus(spark, str(src), max_rows=3).orderBy("id").collect()] == ["one", "None", "two"]
+    write(src, "e", title=pa.array(["no text here"]))
+    with pytest.raises(ValueError, match="e.parquet has no text"):
+        corpus.scan_corpus(spark, str(src))
 
 
 def test_stage_files(spark, tmp_path):
@@ -114,11 +133,13 @@ def test_landing(spark, tmp_path):
     (tmp_path / "src" / "bad.parquet").write_bytes(b"no parquet")
     with pytest.raises(landing.LandingError) as error:
         landing.land_new_files(spark, source, target, manifest)
-    assert error.value.failed == ["bad.parquet"]
-    write(tmp_path / "src", "bad", title=pa.array(["t"]), text=pa.array(["mended"]))
-    assert landing.land_new_files(spark, source, target, manifest) == ["bad.parquet"]
-    assert landing.land_new_files(spark, source, target, manifest) == []
-    landed = corpus.scan_corpus(spark, f"{target}/*")
+    assert error.value.failed == ["bad.parquet"] and "arquet" in error.value.outcomes.where("not landed").first().message
+    assert sorted(r.file_name for r in landing.landed_files(spark, manifest).collect()) == ["a.parquet", "b.parquet"]
+    write(tmp_path / "src", "bad", title=pa.array(["t"]), text=pa.array(["mended"]), more=pa.array([1]))
+    assert [r.file_name for r in landing.land_new_files(spark, source, target, manifest).collect()] == ["bad.parquet"]
+    assert landing.land_new_files(spark, source, target, manifest).count() == 0
+    assert "more" in spark.read.parquet(f"{target}/bad.parquet").columns
+    landed = corpus.scan_corpus(spark, target)
     assert [r.text for r in landed.orderBy("id").collect()] == ["a", "b", "mended"]
 
 

@@ -83,7 +83,22 @@ def test_same_seed_same_result(docs):
 def test_batches_of_the_online_fit(docs):
     vectors, terms = vectors_of(docs)
     model = topics.fit_topics(vectors.persist(), terms, k=2, epochs=2, batch=30)
-    assert model.lda.getMaxIter() == 4 and model.lda.getSubsamplingRate() == 0.5
+    assert model.state.updates == 4
+
+
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_batch_fit_reads_every_document_in_every_pass(docs, parts):
+    """The same topics as a loop over documents, on any partitioning."""
+    vectors, terms = vectors_of(docs)
+    plain = [(np.array(r.indices), np.array(r.counts)) for r in vocabulary.sparse_counts(vectors).collect()]
+    state = online_lda.new_state(terms, k=3)
+    for _ in range(4):
+        old = one_process_step(state, plain, len(plain))
+        rate = (10.0 + state.updates + 1) ** -0.7
+        weights = (old - (1 - rate) * state.weights) / rate  # the loop's target, without its blending
+        state = online_lda.LdaState(terms, weights, state.updates)
+    found = topics.fit_topics(vectors.repartition(parts), terms, k=3, epochs=4)
+    assert np.allclose(found.state.weights, state.weights, rtol=1e-9, atol=1e-9) and found.state.updates == 4
 
 
 def test_document_without_known_words_gets_equal_shares(spark, docs):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicwake.functions.scalars import drift_magnitude, js_distance
+from topicwake.functions.scalars import drift_magnitude, js_distance, utc_iso
 from topicwake.operators.ids import rows_before
 
 WINDOW = 200
@@ -24,15 +24,20 @@ def has_topic(topic_col: str) -> Column:
 
 
 def count_windows(
-    df: DataFrame, id_col: str = "id", topic_col: str = "dominant_topic", window: int = WINDOW, dense: bool = False
+    df: DataFrame,
+    id_col: str = "id",
+    topic_col: str = "dominant_topic",
+    window: int = WINDOW,
+    dense: bool = False,
+    place_col: str | None = None,
 ) -> DataFrame:
     """Add ``window_id`` and ``is_closing``. Rows without a topic carry the current window.
 
-    ``dense`` says that ids run 0, 1, 2, … and every row has a topic, as after scoring a whole corpus
-    with one model: then the id is its own running count and no row moves.
+    ``dense`` says that every row has a topic, as after scoring a whole corpus with one model, and that
+    ``place_col``, or the id, runs 0, 1, 2, …: then it is its own running count and no row moves.
     """
     if dense:
-        counted = df.withColumn("_before", F.col(id_col))
+        counted = df.withColumn("_before", F.col(place_col or id_col))
     else:
         counted = rows_before(df, id_col, has_topic(topic_col), "_before")
     last = F.col("_before") % window == window - 1
@@ -142,20 +147,31 @@ def attach_drift(rows: DataFrame, windows: DataFrame, id_col: str = "id", writte
     if not written:
         joined = rows.join(results, id_col, "left")
         return joined.withColumns({n: F.coalesce(n, v) for n, v in neutral.items()}).drop("is_closing")
-    closing = rows.where("is_closing").join(results, id_col)
+    closing = rows.where("is_closing").join(results, id_col, "left")
+    closing = closing.withColumns({n: F.coalesce(n, v) for n, v in neutral.items()})
     return rows.where(~F.col("is_closing")).withColumns(neutral).unionByName(closing).drop("is_closing")
 
 
-def drift_summary(windows: DataFrame) -> DataFrame:
-    return windows.agg(
-        F.count(F.lit(1)).alias("total_windows"), F.count_if("drift_detected").alias("drift_events_count")
+def drift_events(windows: DataFrame, clock: Column | None = None) -> DataFrame:
+    """(window_id, js_divergence, magnitude, timestamp) of the windows with drift; ``clock`` is when they were judged."""
+    return windows.where("drift_detected").select(
+        "window_id",
+        "js_divergence",
+        F.col("drift_magnitude").alias("magnitude"),
+        utc_iso(F.current_timestamp() if clock is None else clock).alias("timestamp"),
     )
 
 
-def last_drift_events(windows: DataFrame, n: int = 10) -> DataFrame:
-    return (
-        windows.where("drift_detected")
-        .orderBy(F.desc("window_id"))
-        .limit(n)
-        .select("window_id", "js_divergence", F.col("drift_magnitude").alias("magnitude"))
+def last_drift_events(windows: DataFrame, n: int = 10, clock: Column | None = None) -> DataFrame:
+    """The last ``n`` events, oldest first."""
+    return drift_events(windows, clock).orderBy(F.desc("window_id")).limit(n).orderBy("window_id")
+
+
+def drift_summary(windows: DataFrame, n: int = 10, clock: Column | None = None) -> DataFrame:
+    """One row: number of windows, number of events, and the last ``n`` events, oldest first."""
+    totals = windows.agg(
+        F.count(F.lit(1)).alias("total_windows"), F.count_if("drift_detected").alias("drift_events_count")
     )
+    event = F.struct("window_id", "js_divergence", "magnitude", "timestamp")
+    latest = last_drift_events(windows, n, clock).agg(F.sort_array(F.collect_list(event)).alias("drift_events"))
+    return totals.withColumn("drift_events", latest.scalar())

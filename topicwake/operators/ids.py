@@ -31,11 +31,13 @@ def rows_before(df: DataFrame, id_col: str, counted: Column | None = None, name:
 
     Totals of 2^16 ids are summed up to totals of 2^40 ids. The last, unpartitioned sum runs over the
     latter: one row for a dense table of 10^12 rows, 2^23 rows for the most scattered ids possible.
-    Rows move once, to their bucket. Buckets and blocks are declared non-null, so that Spark adds no
+    Only id and flag move to the bucket; the counts are joined back by id, so no bucket ever gathers
+    texts. A row without an id gets no count. Buckets and blocks are declared non-null, so that Spark adds no
     null checks to one use of the totals and can compute them once for both.
     """
     hit = F.lit(1) if counted is None else F.when(counted, 1).otherwise(0)
-    keyed = df.withColumns({"_bucket": _span(id_col, _BUCKET_BITS), "_hit": hit})
+    keyed = df.select(F.col(id_col), hit.alias("_hit")).where(F.col(id_col).isNotNull())
+    keyed = keyed.withColumn("_bucket", _span(id_col, _BUCKET_BITS))
     buckets = keyed.groupBy("_bucket").agg(F.sum("_hit").alias("_n")).withColumn(
         "_block", _span("_bucket", _BLOCK_BITS)
     )
@@ -44,11 +46,10 @@ def rows_before(df: DataFrame, id_col: str, counted: Column | None = None, name:
     offsets = buckets.join(block_offsets, "_block").select(
         "_bucket", (F.col("_block_offset") + _sum_before("_n", "_bucket", "_block")).alias("_offset")
     )
-    return (
-        keyed.join(offsets, "_bucket")
-        .withColumn(name, F.col("_offset") + _sum_before("_hit", id_col, "_bucket"))
-        .drop("_bucket", "_hit", "_offset")
+    counts = keyed.join(offsets, "_bucket").select(
+        id_col, (F.col("_offset") + _sum_before("_hit", id_col, "_bucket")).alias(name)
     )
+    return counts if df.columns == [id_col] else df.join(counts, id_col, "left")
 
 
 def dense_id(df: DataFrame, order_cols: list[str], name: str = "id", partitions: int | None = None) -> DataFrame:

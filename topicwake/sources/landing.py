@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import json
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from topicwake import schemas
+from topicwake.session import materialize
 
+_CHUNK = 4 << 20
 _MANIFEST = "file_name string"
 
 
@@ -20,9 +25,13 @@ def skip_landed(source: DataFrame, landed: DataFrame, key: str) -> DataFrame:
 
 
 class LandingError(RuntimeError):
-    def __init__(self, failed: list[str]):
-        super().__init__("not landed: " + ", ".join(failed))
-        self.failed = failed
+    """Some files did not land; ``outcomes`` (file_name, landed, message) tells of each why."""
+
+    def __init__(self, outcomes: DataFrame):
+        failed = outcomes.where("not landed").orderBy("file_name").limit(20).collect()
+        super().__init__("not landed: " + "; ".join(f"{r.file_name}: {r.message}" for r in failed))
+        self.failed = [r.file_name for r in failed]
+        self.outcomes = outcomes
 
 
 def landed_files(spark: SparkSession, manifest: str) -> DataFrame:
@@ -33,39 +42,52 @@ def landed_files(spark: SparkSession, manifest: str) -> DataFrame:
         return spark.createDataFrame([], _MANIFEST)
 
 
-def land_new_files(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    manifest: str,
-    schema: T.StructType = schemas.CORPUS,
-    at_once: int = 8,
-) -> list[str]:
-    """Copy the parquet files of ``source`` that the manifest does not name; returns the names landed.
-
-    One Spark job per file, the unit that succeeds or fails, ``at_once`` of them at a time, written to a
-    folder of that name below ``target``. A file that fails does not stop the others: the landed ones
-    are recorded, then the failed ones are reported, and a rerun tries only these. A file written but not
-    recorded, because the driver died, is simply written again. Half-precision columns are copied as
-    bytes if ``schema`` declares them binary.
+def _copy(source: str, target: str, name: str) -> None:
+    """The file as it is, chunk by chunk, under its name only when complete."""
+    store, path = fs.FileSystem.from_uri(source)
+    out, folder = fs.FileSystem.from_uri(target)
+    pq.read_schema(path, filesystem=store)  # refuses what is no parquet file
+    out.create_dir(folder, recursive=True)
+    part = f"{folder}/_{name}.{uuid.uuid4().hex}"
+    with store.open_input_stream(path) as read, out.open_output_stream(part) as write:
+        while chunk := read.read(_CHUNK):
+            write.write(chunk)
+    out.move(part, f"{folder}/{name}")
+
+
+def _record(manifest: str, name: str) -> None:
+    store, folder = fs.FileSystem.from_uri(manifest)
+    store.create_dir(folder, recursive=True)
+    with store.open_output_stream(f"{folder}/{name}.json") as out:
+        out.write((json.dumps({"file_name": name}) + "\n").encode())
+
+
+def land_new_files(spark: SparkSession, source: str, target: str, manifest: str) -> DataFrame:
+    """Copy the parquet files of ``source`` that the manifest does not name; (file_name, landed, message) of each.
+
+    One job over the listing: tasks copy their files as they are, with all columns, and record each
+    in the manifest as soon as it has landed. A file that fails does not stop the others; a rerun tries only what is not
+    recorded. A file landed but not recorded, because its executor was lost, is copied again under the same name.
+    Folders must be named by paths that Arrow's file systems open on the executors.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(source)
     wanted = listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path")
-    new = skip_landed(wanted, landed_files(spark, manifest), "file_name").orderBy("file_name")
-
-    def land(row: Row) -> tuple[str, bool]:
-        try:
-            spark.read.schema(schema).parquet(row.path).write.mode("overwrite").parquet(f"{target}/{row.file_name}")
-            return row.file_name, True
-        except Exception:
-            return row.file_name, False
-
-    with ThreadPoolExecutor(at_once) as pool:
-        outcomes = list(pool.map(land, new.toLocalIterator()))
-    done = [name for name, landed in outcomes if landed]
-    failed = [name for name, landed in outcomes if not landed]
-    if done:
-        spark.createDataFrame([(name,) for name in done], _MANIFEST).coalesce(1).write.mode("append").json(manifest)
-    if failed:
-        raise LandingError(failed)
-    return done
+    new = skip_landed(wanted, landed_files(spark, manifest), "file_name")
+
+    def land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                message = None
+                try:
+                    _copy(path, target, name)
+                    _record(manifest, name)
+                except (OSError, pa.ArrowException) as error:
+                    message = str(error)[:500]
+                columns = [pa.array([name]), pa.array([message is None]), pa.array([message], pa.string())]
+                yield pa.record_batch(columns, names=["file_name", "landed", "message"])
+
+    spread = new.select("file_name", "path").repartition(4 * spark.sparkContext.defaultParallelism, "file_name")
+    outcomes = materialize(spread.mapInArrow(land, "file_name string, landed boolean, message string"), "landing")
+    if not outcomes.where("not landed").isEmpty():
+        raise LandingError(outcomes)
+    return outcomes
