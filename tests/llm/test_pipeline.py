@@ -1,0 +1,105 @@
+"""The pipeline's stages, one after the other, on planted cases, and its result against a plain assembly of the stages."""
+
+import random
+import zlib
+from collections import Counter
+
+import pytest
+from cases import prose
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+
+TOXIC = ["scumbag", "filthwad", "wretchbag", "vileface"]
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """120 plain documents, 30 toxic, copies, shared passages, benchmark passages and odd rows."""
+    rng, path = random.Random(4), str(tmp_path_factory.mktemp("sf"))
+    rows, labels = [], []
+    for i in range(120):
+        rows.append((i, prose(120, 7000 + i)))
+        labels.append((i, 1, 0))
+    for i in range(200, 240):
+        words = prose(100, 7000 + i).split()
+        for _ in range(6):
+            words.insert(rng.randint(0, len(words)), rng.choice(TOXIC))
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, 1))
+    rows += [(300, rows[5][1]), (301, rows[5][1].upper()), (302, rows[6][1] + " tail words"), (5, rows[5][1])]
+    passage, items = prose(70, 9001), [(1, prose(30, 9002)), (2, prose(20, 9003)), (3, None)]
+    rows += [(400 + i, f"{prose(60, 9100 + i)} {passage} {prose(60, 9200 + i)}") for i in range(3)]
+    rows += [(500, f"{prose(50, 9300)} {items[0][1]} {prose(50, 9301)}")]
+    rows += [(600, None), (601, ""), (602, " "), (None, prose(90, 9400)), (None, None), (603, "tiny"), (604, prose(15_000, 9500))]
+    full = [(d, t, None if k % 4 == 0 else "en", f"src{k % 3}", len(t or ""), f"x{k}") for k, (d, t) in enumerate(rows)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, place string"
+    spark.createDataFrame(full, schema).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return path, rows, passage, items
+
+
+@pytest.fixture(scope="module")
+def stages(spark, folder, tmp_path_factory):
+    path = folder[0]
+    docs, out = spark.read.parquet(f"{path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        target = str(tmp_path_factory.mktemp("out") / name)
+        stage(spark, docs, path).write.parquet(target)
+        docs = spark.read.parquet(target)
+        out[name] = docs.collect()
+    return out
+
+
+def ids(rows):
+    return Counter(r.doc_id for r in rows)
+
+
+def test_names_and_columns(stages):
+    assert list(stages) == ["toxicity", "minhash_near_dedup", "substring_dedup", "benchmark_decontamination", "best_fit_packing"]
+    for name, rows in list(stages.items())[:-1]:
+        assert rows[0].__fields__ == ["doc_id", "text", "lang", "source", "n_chars", "place"], name
+
+
+def test_toxic_documents_go(folder, stages):
+    kept = ids(stages["toxicity"])
+    assert not any(200 <= (i or 0) < 240 for i in kept)
+    assert kept == Counter(i for i, _ in folder[1] if not 200 <= (i or 0) < 240)
+
+
+def test_one_of_each_group_stays(stages):
+    before, after = ids(stages["toxicity"]), ids(stages["minhash_near_dedup"])
+    assert before[5] == 2 and after[5] == 1 and after[None] == 2
+    assert set(before) - set(after) == {300, 301, 302}
+
+
+def test_later_copies_of_a_passage_are_cut(folder, stages):
+    before = {r.doc_id: r for r in stages["minhash_near_dedup"]}
+    after = {r.doc_id: r for r in stages["substring_dedup"]}
+    passage = folder[2]
+    assert set(before) == set(after) and passage in after[400].text
+    for i in (401, 402):
+        assert 118 <= len(after[i].text.split()) <= 122 and after[i].n_chars == len(after[i].text)
+    assert all(after[i].text == (r.text or "") for i, r in before.items() if i not in (401, 402, None))
+
+
+def test_documents_with_benchmark_items_go(stages):
+    assert ids(stages["substring_dedup"]) - ids(stages["benchmark_decontamination"]) == Counter([500])
+
+
+def test_what_is_left_is_packed(spark, folder, stages):
+    last = stages["benchmark_decontamination"]
+    found = stages["best_fit_packing"]
+    assert ids(r for r in found if r.piece == 0) == ids(last)
+    run = corpus_pipeline.run(spark, folder[0]).collect()
+    key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
+    assert Counter(map(key, run)) == Counter(map(key, found))
+    blank = [r for r in found if r.doc_id in (600, 601)]
+    assert all(r.length == 1 and r.ids_crc32 == zlib.crc32(b"\2\0\0\0") for r in blank) and len(blank) == 2
+
+
+def test_stages_take_empty_tables(spark, folder):
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").where(F.lit(False))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, folder[0]).count() == 0
