@@ -31,6 +31,19 @@ def test_rows_before_has_one_bounded_global_step(spark):
     assert plan.count("SinglePartition") == 1
 
 
+def test_only_ids_and_flags_move_to_the_bucket(spark, tmp_path):
+    spark.range(50).selectExpr("id", "repeat('x', 100) as text", "id % 2 as hit").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    lines = rows_before(df, "id", F.col("hit") == 1)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = [i for i, line in enumerate(lines) if "Window" in line and "_hit" in line]
+    assert at
+    for i in at:
+        below = [x for x in lines[i + 1 :]]
+        end = next((k for k, x in enumerate(below) if depth(x) <= depth(lines[i])), len(below))
+        assert not any("text" in x for x in below[:end] if "Relation" not in x)
+
+
 def test_dense_id_splits_a_hot_leading_key(spark):
     rows = [(1, i) for i in range(400)] + [(0, 3), (2, 1), (2, 0)]
     random.Random(2).shuffle(rows)

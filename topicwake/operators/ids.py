@@ -15,6 +15,7 @@ from topicwake.session import materialize
 # block spans 2^24 buckets.
 _BUCKET_BITS = 16
 _BLOCK_BITS = 24
+_RANGE_ROWS = 1 << 22
 
 
 def _sum_before(value: str, order: str, *partition: str) -> Column:
@@ -55,11 +56,13 @@ def rows_before(df: DataFrame, id_col: str, counted: Column | None = None, name:
 def dense_id(df: DataFrame, order_cols: list[str], name: str = "id", partitions: int | None = None) -> DataFrame:
     """Number rows 0, 1, 2, … in the order of ``order_cols``, which must identify a row.
 
-    Range partitions on the whole key split a hot leading value over several tasks. The placed rows
+    Range partitions on the whole key, more of them for a longer table, split a hot leading value over several tasks. The placed rows
     are written once, so that counting and numbering see the same placement even if an executor is
     lost in between. The offsets table has one row per partition and is therefore safe to broadcast.
     """
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(least, -(-df.count() // _RANGE_ROWS))
     placed = materialize(
         df.repartitionByRange(partitions, *order_cols)
         .sortWithinPartitions(*order_cols)

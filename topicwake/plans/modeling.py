@@ -26,6 +26,7 @@ class Params:
     max_terms: int = 5000
     seed: int = 42
     epochs: int = 10
+    mini_batch: int = 128
     window: int = 200
     threshold: float = 0.15
     batch_size: int = 100

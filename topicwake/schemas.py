@@ -1,4 +1,4 @@
-"""Fixed schemas of the stages. Writers never infer a schema from the rows of one batch."""
+"""The schemas of the stages. Writers never infer a schema from the rows of one batch."""
 
 from __future__ import annotations
 

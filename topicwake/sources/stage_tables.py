@@ -10,6 +10,7 @@ from topicwake.functions.scalars import batch_name, json_list, utc_stamp
 from topicwake.operators.ids import rows_before
 
 BATCH_SIZE = 100
+# The label written when the caller names no model, and the columns of the FEATURES table.
 MODEL_VERSION = "sklearn-lda-v1"
 _FEATURES = [
     "id",
