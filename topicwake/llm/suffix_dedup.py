@@ -18,7 +18,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicwake.llm.bloom import KeyFilter, key_filter
+from topicwake.llm.bloom import key_filter
 from topicwake.llm.jobs import Batches, map_arrow
 from topicwake.llm.suffixes import join, share_with_neighbour, sort_suffixes
 from topicwake.llm.text import U64, blocks, mix, ragged, rolling
@@ -28,7 +28,7 @@ GRAM = 40
 #: Different contexts of an anchor that are sorted together; more are split by longer strings first.
 GROUP = 1000
 #: Bytes of contexts sorted at once.
-SORTED = 1 << 20
+SORTED = 1 << 19
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -70,7 +70,7 @@ def _tag(key: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _context_rows(df: DataFrame, depth: int, only: KeyFilter | None = None) -> DataFrame:
+def _context_rows(df: DataFrame, depth: int) -> DataFrame:
     """(key, ctx, pid, at); ``at`` packs 16 bits of the text's hash, 32 of the first window, 8 and 8 of windows and anchor."""
 
     def find(batches: Batches) -> Batches:
@@ -81,9 +81,6 @@ def _context_rows(df: DataFrame, depth: int, only: KeyFilter | None = None) -> D
                 start = first - offsets[:-1][text]
                 at = (th[lo + text] << 48) | (start << 16) | (number << 8) | (anchor - first)
                 columns = [_tag(key), _tag(ctx), pid[lo + text], at]
-                if only is not None:
-                    keep = only.test(columns[0])
-                    columns = [c[keep] for c in columns]
                 yield pa.record_batch([pa.array(c) for c in columns], names=["key", "ctx", "pid", "at"])
 
     return map_arrow(df.select("pid", "th", "text"), find, "key long, ctx long, pid long, at long")
@@ -237,11 +234,13 @@ def _whole(rows: DataFrame, depth: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, depth: int) -> DataFrame:
     """(pid, th, lo, hi): byte ranges covered by strings of ``depth`` bytes that start elsewhere too; they may overlap."""
-    counts = _context_rows(docs, depth).groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-    often = materialize(counts.where("c > 1").select("key"), "anchor-counts")
-    found = materialize(_context_rows(docs, depth, key_filter(often)).join(often, "key"), "anchors")
+    rows = _context_rows(docs, depth)
+    often = materialize(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "anchor-keys")
+    found = materialize(rows.join(often, "key"), "anchors")
+    # aggregates are written before they are joined, so that Spark can split hot keys
     equal = found.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("pid", "at")).alias("one"))
-    kinds = equal.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    equal = materialize(equal, "equal")
+    kinds = materialize(equal.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "kinds")
     groups = materialize(equal.join(kinds, "key").select("key", "ctx", "n", "m", "one.pid", "one.at"), "contexts")
     parts = [_whole(found.join(groups.where("n > 1").select("key", "ctx"), ["key", "ctx"], "left_semi"), depth)]
     wanted = groups.where("m > 1").select("key", "n", "m", "pid", "at")
