@@ -60,15 +60,15 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``component`` is the least node reachable. Union-find first shrinks the edges of each partition to
     stars; then large-star and small-star rounds alternate until nothing changes, a number of rounds that
-    grows with the logarithm of the size. Minima are aggregated before they are exchanged and joined
-    back, so a node with a third of all edges is split like any skewed join. Every round is a written table.
+    grows with the logarithm of the size. Minima are aggregated before they are exchanged, written, and
+    joined back, so that Spark can split a node with a third of all edges like any skewed key. Every round is a written table.
     """
     edges = edges.where("u <> v").select("u", "v")
     edges = materialize(map_arrow(edges, _local, "u long, v long").distinct(), "edges")
     mark = _mark(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")

@@ -108,7 +108,7 @@ def clusters(reps: DataFrame) -> DataFrame:
     entries = materialize(entries.where(shared.column("key")).join(sizes, "key"), "buckets")
     popular = entries.groupBy("id").agg(F.sum("c").alias("p"))
     hubs = entries.join(popular, "id").groupBy("key").agg(F.max(F.struct("p", -F.col("id"))).alias("top"))
-    hubs = hubs.select("key", (-F.col("top.col2")).alias("hub"))
+    hubs = materialize(hubs.select("key", (-F.col("top.col2")).alias("hub")), "hubs")
     return entries.join(hubs, "key").select("hub", "id").distinct()
 
 
@@ -141,10 +141,10 @@ def near_duplicates(
     table = materialize(sketches(docs, shingle, bands, width), "sketches")
     linkable = table.where("n > 0 and id is not null")
     reps = linkable.groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    reps = materialize(reps, "sets")  # joined as a written table, Spark can split a set that a third of all rows have
     copies = linkable.select(F.col("id").alias("u"), "print").join(
         reps.select(F.col("id").alias("v"), "print"), "print"
     ).where("u <> v").select("u", "v")
-    reps = materialize(reps.select("id", "n", "keys"), "sets")
     members = materialize(clusters(reps).join(reps.select("id", "n"), "id"), "clusters")
     groups = members.groupBy("hub").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("n") * 8 / GROUP_BYTES)).alias("groups")
