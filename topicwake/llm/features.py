@@ -112,8 +112,8 @@ def collect_rows(df: DataFrame, views: tuple[View, ...], bits: int) -> tuple[np.
     table = table.take(pa.array(order)).combine_chunks()
     lists = table.column("features").combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    labels = np.asarray(table.column("label").combine_chunks())
-    return labels, np.asarray(lists.offsets) - lists.offsets[0].as_py(), np.asarray(lists.flatten()).astype(np.int64)
+    labels = np.asarray(table.column("label").combine_chunks()).astype(np.int8)  # narrow types: the driver holds all of them
+    return labels, np.asarray(lists.offsets).astype(np.int64) - lists.offsets[0].as_py(), np.asarray(lists.flatten())
 
 
 def score_texts(

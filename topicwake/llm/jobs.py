@@ -14,13 +14,20 @@ import topicwake
 
 Batches = Iterator[pa.RecordBatch]
 
+#: Rows of a batch handed to Python, unless the session asks for another number than Spark's own.
+BATCH_ROWS = 2_000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
     """Send the package's source to the executors, once for each application.
 
     The functions keep caches of their own modules (vocabularies, power tables) from task to task, so the
-    modules must be importable there. Spark serves the archive from the driver.
+    modules must be importable there. Spark serves the archive from the driver. Rows are whole texts, so
+    batches of Spark's default of 10,000 rows are made smaller; both sides of the pipe hold a few of them.
     """
+    if spark.conf.get(_ROWS) == "10000":
+        spark.conf.set(_ROWS, BATCH_ROWS)
     context = spark.sparkContext
     if getattr(context, "_topicwake_shipped", False):
         return

@@ -158,7 +158,7 @@ class Tables:
 class IdCache:
     """Ids of pre-tokens by hash; emptied when ``limit`` pre-tokens are held."""
 
-    def __init__(self, encode: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 500_000):
+    def __init__(self, encode: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 300_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
