@@ -19,7 +19,7 @@ def evidence(labels: np.ndarray, bounds: np.ndarray, index: np.ndarray, size: in
     other = np.bincount(index[per_item == 0], minlength=size)
     ratio = np.log(((one + 1) / (ones + 2)) / ((other + 1) / (others + 2)))
     error = np.sqrt(1 / (one + 1) + 1 / (other + 1))
-    return np.where((np.abs(ratio) > 2.5 * error) & (one + other >= 3), ratio, 0.0)
+    return np.where((np.abs(ratio) > 3.2 * error) & (one + other >= 4), ratio, 0.0)
 
 
 def fit_pu(
@@ -87,8 +87,8 @@ def toxicity(
     label_col: str = "toxic",
     folds: int = 5,
     held: int = 0,
-    positives: int = 8_000,
-    unlabelled: int = 16_000,
+    positives: int = 5_000,
+    unlabelled: int = 10_000,
     threshold: float = 0.5,
     id_col: str = "doc_id",
     text_col: str = "text",
