@@ -18,6 +18,8 @@ from topicwake.session import materialize
 
 #: Members of a cluster that are compared in one task, and the bytes of their sets.
 GROUP_ROWS, GROUP_BYTES = 512, 8 << 20
+#: Bytes of texts sketched at once; each word needs two bytes for every slot.
+SKETCHED = 1 << 18
 
 
 def sketches(df: DataFrame, size: int, bands: int, width: int) -> DataFrame:
@@ -25,7 +27,7 @@ def sketches(df: DataFrame, size: int, bands: int, width: int) -> DataFrame:
 
     def sketch(batches: Batches) -> Batches:
         for batch in batches:
-            for lo, hi, data, offsets in blocks(batch.column(1)):
+            for lo, hi, data, offsets in blocks(batch.column(1), SKETCHED):
                 n = hi - lo
                 text, hashes = distinct(*shingles(Words(data, offsets), size))
                 bounds = np.searchsorted(text, np.arange(n + 1))
@@ -162,6 +164,7 @@ def near_duplicates(
     wanted = key_filter(members.select("id"))
     texts = placed.join(docs.where("id is not null").where(wanted.column("id")), "id").select("hub", "a", "b", "side", "id", "text")
     links = texts.groupBy("hub", "a", "b").applyInArrow(_verify(shingle, percent), "u long, v long")
+    links = materialize(links, "links")  # else each task would keep two Python workers, for comparing and for union-find
     found = components(copies.unionByName(links))
     rows = table.join(found, table.id == found.node, "left")
     component = F.coalesce("component", "id")
