@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -37,6 +39,18 @@ def ship(spark: SparkSession) -> None:
     context._topicwake_shipped = True
 
 
+def _release() -> None:
+    """Give freed memory back to the system; a worker waits for its next task, beside others that need it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, function: Callable[[Batches], Batches], schema: str) -> DataFrame:
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Batches) -> Batches:
+        yield from function(batches)
+        _release()
+
+    return df.mapInArrow(run, schema)
