@@ -96,6 +96,21 @@ def test_chains_against_all_predecessors():
             assert score == pytest.approx(chain_score(x.tolist(), y.tolist()))
 
 
+def test_chains_of_two_passages():
+    """A long chain's far end does not hide the neighbours of the matches after a gap, however far in either text."""
+    for gap_x, gap_y in ((194, 194), (194, 10), (10, 194), (700, 5)):
+        x = np.concatenate([np.arange(0, 186, 6), 186 + gap_x + np.arange(0, 90, 6)])
+        y = np.concatenate([np.arange(0, 186, 6), 186 + gap_y + np.arange(0, 90, 6)])
+        assert [c.tolist() for c in chains(x, y)] == [list(range(31)), list(range(31, 46))]
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        x, y = rng.integers(0, 700, 120), rng.integers(0, 700, 120)
+        x[:60] = y[:60] = np.arange(0, 360, 6)
+        c = chains(x, y)[0]
+        score = SEED * len(c) - GAP * (np.diff(x[c]).sum() + np.diff(y[c]).sum())
+        assert score == pytest.approx(chain_score(x.tolist(), y.tolist()))
+
+
 def edited(text, every, seed):
     words, rng = text.split(), random.Random(seed)
     for i in range(every, len(words), every):
@@ -123,6 +138,18 @@ def test_substring_dedup(spark):
     assert len(found[6].kept.split()) <= 90
 
 
+def words_left(row):
+    return row.kept.split()
+
+
+def test_substring_dedup_of_two_passages(spark):
+    """Two passages of the same two documents, 200 words of their own apart."""
+    one, two = prose(186, 21), prose(120, 22)
+    rows = [(1, f"{one} {prose(200, 23)} {two}"), (2, f"{one} {prose(200, 24)} {two}")]
+    found = {r.doc_id: r for r in substring_dedup(docs(spark, rows)).collect()}
+    assert not found[1].spans and len(found[2].spans) == 2 and 196 <= len(words_left(found[2])) <= 204
+
+
 def test_substring_dedup_of_odd_rows(spark):
     rows = odd_rows()
     found = substring_dedup(docs(spark, rows)).collect()
