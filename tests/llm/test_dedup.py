@@ -12,7 +12,7 @@ from topicwake.llm import minhash, suffix_dedup
 from topicwake.llm.chaining import BREAK, GAP, SEED, chains
 from topicwake.llm.components import components, forest
 from topicwake.llm.minhash import near_duplicates, similar_pairs
-from topicwake.llm.substring_dedup import substring_dedup
+from topicwake.llm.substring_dedup import close_enough, substring_dedup
 from topicwake.llm.suffix_dedup import suffix_array_dedup
 from topicwake.llm.suffixes import join, share_with_neighbour, sort_suffixes
 from topicwake.llm.superminhash import signatures
@@ -150,6 +150,41 @@ def test_substring_dedup_of_two_passages(spark):
     assert not found[1].spans and len(found[2].spans) == 2 and 196 <= len(words_left(found[2])) <= 204
 
 
+def test_close_enough_against_all_stretches():
+    """The stretches found cover just the words that any stretch within the limit covers."""
+    rng = random.Random(8)
+    for _ in range(200):
+        pieces, at = [], rng.randint(0, 5)
+        for _ in range(rng.randint(1, 12)):
+            n = rng.randint(0, 9)
+            pieces.append((at, at + n, rng.choice([0, 0, rng.randint(0, max(n, 1))])))
+            at += n
+        wanted = set()
+        places = sorted({w for lo, hi, e in pieces for w in ([lo, hi] if e else range(lo, hi + 1))})
+        for a in places:
+            for b in places:
+                # edits of the pieces that [a, b) holds; those at its very ends are left out
+                wrong = sum(e for lo, hi, e in pieces if e and a <= lo and hi <= b and (lo < hi or a < lo < b))
+                if b - a >= 10 and wrong <= 0.2 * (b - a) + 1e-9:
+                    wanted.update(range(a, b))
+        found = close_enough(pieces, 10, 0.2)
+        assert {w for a, b, _ in found for w in range(a, b)} == wanted
+        assert all(b - a >= 10 and wrong <= 0.2 * (b - a) + 1e-9 for a, b, wrong in found)
+
+
+def test_substring_dedup_of_a_loose_neighbour(spark):
+    """60 exact words are cut although over a fifth of the many words that follow them are edited."""
+    rows = []
+    for i, (period, first, words) in enumerate(((18, 8, 320), (20, 10, 640))):
+        exact, loose = prose(60, (1009, 1015)[i]), prose(words, (2009, 2015)[i]).split()
+        other = [f"zz{k}" if k % period in range(first, period, 2) else w for k, w in enumerate(loose)]
+        rows += [(2 * i, f"{exact} {' '.join(loose)}"), (2 * i + 1, f"{exact} {' '.join(other)}")]
+    found = {r.doc_id: r for r in substring_dedup(docs(spark, rows)).collect()}
+    for i in (0, 2):
+        assert not found[i].spans
+        assert found[i + 1].spans[0].start == 0 and found[i + 1].spans[0].end >= len(" ".join(rows[i][1].split()[:60]))
+
+
 def test_substring_dedup_of_odd_rows(spark):
     rows = odd_rows()
     found = substring_dedup(docs(spark, rows)).collect()
