@@ -185,6 +185,25 @@ def test_substring_dedup_of_a_loose_neighbour(spark):
         assert found[i + 1].spans[0].start == 0 and found[i + 1].spans[0].end >= len(" ".join(rows[i][1].split()[:60]))
 
 
+def test_substring_dedup_of_copies(spark):
+    """A later document loses every copy of a passage, also where it holds more of them than the first holder."""
+    passage, other = prose(80, 27), prose(70, 28)
+    rows = [
+        (1, f"{prose(70, 29)} {passage} {prose(50, 30)}"),
+        (2, " ".join([passage, prose(30, 31)] * 5)),
+        (3, f"{passage}. {passage}"),
+        (4, f"{other} {prose(60, 32)} {other}"),
+        (5, f"{other} {prose(20, 33)} {other} {prose(25, 34)} {other}"),
+        (6, "yes " * 60),
+        (7, "yes " * 1000),
+    ]
+    found = {r.doc_id: r for r in substring_dedup(docs(spark, rows)).collect()}
+    assert not any(found[i].spans for i in (1, 4, 6))
+    assert [len(found[i].spans) for i in (2, 3, 5)] == [5, 1, 3]
+    assert 140 <= len(words_left(found[2])) <= 160 and not words_left(found[3]) and 40 <= len(words_left(found[5])) <= 50
+    assert len(words_left(found[7])) < 50
+
+
 def test_substring_dedup_of_odd_rows(spark):
     rows = odd_rows()
     found = substring_dedup(docs(spark, rows)).collect()
