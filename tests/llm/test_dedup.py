@@ -204,6 +204,25 @@ def test_substring_dedup_of_copies(spark):
     assert len(words_left(found[7])) < 50
 
 
+def test_substring_dedup_of_pieces_held_elsewhere(spark):
+    """A passage is found though each part of it was seen first in another document, word for word or edited."""
+    rows, wanted = [], {}
+    for i in range(12):
+        words, edit = prose(90, 300 + i).split(), i % 2
+        later = edited(" ".join(words), 30, i) if edit else " ".join(words)
+        at = 10 * i
+        rows += [(at, f"{' '.join(words[:48])} {prose(20, 320 + i)}"), (at + 1, f"{prose(20, 340 + i)} {' '.join(words[42:])}")]
+        rows += [(at + 2, f"{' '.join(words)} {prose(20, 360 + i)}"), (at + 3, f"{prose(20, 380 + i)} {later}")]
+        wanted[at + 3] = 20
+    pieces = prose(50, 400).split()
+    rows += [(1000, " ".join(pieces[:49])), (1001, " ".join(pieces[1:])), (1002, " ".join(pieces)), (1003, " ".join(pieces))]
+    rows += [(1004, "yes " * 60), (1005, "yes " * 1000)]
+    found = {r.doc_id: r for r in substring_dedup(docs(spark, rows)).collect()}
+    left = {i: len(words_left(found[i])) for i in wanted}
+    assert all(n <= wanted[i] + 4 for i, n in left.items()), left
+    assert not words_left(found[1003]) and not words_left(found[1005])
+
+
 def test_substring_dedup_of_odd_rows(spark):
     rows = odd_rows()
     found = substring_dedup(docs(spark, rows)).collect()
