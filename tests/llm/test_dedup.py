@@ -223,6 +223,31 @@ def test_substring_dedup_of_pieces_held_elsewhere(spark):
     assert not words_left(found[1003]) and not words_left(found[1005])
 
 
+def test_substring_dedup_recall(spark):
+    """Passages of 60 and 100 words with 0.05, 0.1 and 0.2 edits a word, evenly spread and at random."""
+    rows, plan = [], {}
+    for size in (60, 100):
+        for every in (20, 10, 5):
+            for even in (True, False):
+                for _ in range(60):
+                    i = len(rows)
+                    words, rng = prose(size, 5000 + i).split(), random.Random(i)
+                    other = list(words)
+                    for k in range(every // 2, size, every) if even else rng.sample(range(size), size // every):
+                        other[k] = f"zz{rng.randint(0, 9999)}"
+                    for j, held in ((i, words), (i + 1, other)):
+                        rows.append((j, f"{prose(30, 20_000 + j)} {' '.join(held)} {prose(30, 30_000 + j)}"))
+                    plan[i + 1] = (size, every, even)
+    hits = Counter()
+    for r in substring_dedup(docs(spark, rows)).collect():
+        if r.doc_id in plan:
+            hits[plan[r.doc_id]] += r.n_words - len(words_left(r)) >= 0.7 * plan[r.doc_id][0]
+        else:
+            assert not r.spans
+    recall = {k: hits[k] / 60 for k in sorted(set(plan.values()))}
+    assert min(recall.values()) >= 0.95, recall
+
+
 def test_substring_dedup_of_odd_rows(spark):
     rows = odd_rows()
     found = substring_dedup(docs(spark, rows)).collect()

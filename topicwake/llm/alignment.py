@@ -75,15 +75,17 @@ def edit_distances(left: np.ndarray, left_sizes: np.ndarray, right: np.ndarray,
     return out
 
 
-def best_prefixes(left: np.ndarray, left_sizes: np.ndarray, right: np.ndarray, right_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words of left, edits) of the prefixes of each pair that align best: words less three times the edits is largest."""
+def best_prefixes(
+    left: np.ndarray, left_sizes: np.ndarray, right: np.ndarray, right_sizes: np.ndarray, cost: int = 3
+) -> tuple[np.ndarray, np.ndarray]:
+    """(words of left, edits) of the prefixes of each pair that align best: words less ``cost`` times the edits is largest."""
     n, width = right.shape
     best, length, edits = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
     inside = np.arange(width + 1)[None, :] <= right_sizes[:, None]
     first = np.broadcast_to(np.arange(width + 1, dtype=np.int32), (n, width + 1)).copy()
     for i, row in enumerate(_rows(left, right, first)):
         least = np.where(inside, row, _FAR).min(axis=1)
-        value = i - 3 * least.astype(np.int64)
+        value = i - cost * least.astype(np.int64)
         better = (value > best) & (i <= left_sizes)
         best[better], length[better], edits[better] = value[better], i, least[better]
     return length, edits
