@@ -1,9 +1,13 @@
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from topicwake import schemas
+from topicwake.plans import queries
 from topicwake.session import shared_folder
 from topicwake.sources import corpus, landing, stages
 
@@ -152,3 +156,15 @@ def test_skip_landed(spark):
 def test_shared_folder_is_the_named_one(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == (named.rstrip("/") if named else shared_folder(spark))
+
+
+def test_parts_hold_every_row_in_order(spark):
+    """Ids with a wide gap and null ids: four parts of several files each, no row lost, path order is id order."""
+    rows = spark.createDataFrame([(i if i < 399 else 10**12,) for i in range(400)] + [(None,), (None,)], "id long").repartition(3)
+    path = queries._in_parts(rows, "id")
+    held = spark.read.parquet(path).select("id", "part", F.input_file_name().alias("file")).collect()
+    assert sorted(r.id for r in held if r.id is not None) == [*range(399), 10**12] and sum(r.id is None for r in held) == 2
+    sizes, files = Counter(r.part for r in held), Counter(p for p, _ in {(r.part, r.file) for r in held})
+    assert len(sizes) == 4 and min(sizes.values()) >= 80 and min(files.values()) > 1 and all(r.part == 0 for r in held if r.id is None)
+    in_order = [-1 if r.id is None else r.id for r in sorted(held, key=lambda r: r.file)]
+    assert in_order == sorted(in_order)

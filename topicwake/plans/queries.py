@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from topicwake import schemas
 from topicwake.functions import scalars
@@ -137,14 +138,16 @@ def scan_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _in_parts(rows: DataFrame, id_col: str, parts: int = 4) -> str:
-    """A folder of files that hold ``rows`` by ranges of their id, written one range after the other."""
+    """A folder of files that hold ``rows`` by ranges of their id, in about equal ``parts`` of many files each; null ids come first.
+
+    The ranges follow the quantiles of the ids, so that ids with gaps do not fill one part only.
+    """
     path = new_table_path(rows.sparkSession, "parts")
-    least, most = rows.agg(F.min(id_col), F.max(id_col)).first()
-    least, most = least or 0, most or 0
-    step = (most - least) // parts + 1
-    for p in range(parts):
-        mine = rows.where((F.col(id_col) >= least + p * step) & (F.col(id_col) < least + (p + 1) * step))
-        mine.coalesce(1).sortWithinPartitions(id_col).write.parquet(f"{path}/part={p}")
+    cores = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bounds = rows.approxQuantile(id_col, [p / parts for p in range(1, parts)], 0.001)
+    part = sum((F.when(F.col(id_col) > b, 1).otherwise(0) for b in bounds), F.lit(0))
+    ranged = rows.withColumn("part", part).repartitionByRange(cores, F.col(id_col).asc_nulls_first())
+    ranged.sortWithinPartitions("part", F.col(id_col).asc_nulls_first()).write.partitionBy("part").parquet(path)
     return path
 
 
@@ -337,35 +340,45 @@ def last_drift_events(spark: SparkSession, sf: str) -> DataFrame:
     return drift.last_drift_events(event_windows(spark, sf), clock=_clock())
 
 
-def _stream(spark: SparkSession, sf: str, name: str, id_col: str) -> DataFrame:
-    """A table as a file stream of several micro-batches in id order."""
-    table = _table(spark, sf, name)
-    path = _in_parts(table, id_col)
-    files = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1)
-    return files.option("recursiveFileLookup", "true").parquet(path)
+def _drain(rows: DataFrame, id_col: str, start: Callable[[DataFrame], DataStreamWriter]) -> None:
+    """Drains the stream that ``start`` makes of ``rows``: a micro-batch for each part, in id order, each part a folder that is added."""
+    spark, inbox = rows.sparkSession, new_table_path(rows.sparkSession, "inbox")
+    held = spark.read.parquet(_in_parts(rows, id_col))
+    for p in sorted(r["part"] for r in held.select("part").distinct().collect()):
+        held.where(F.col("part") == p).select(*rows.columns).write.parquet(f"{inbox}/part={p}")
+        jobs.drain(start(spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(inbox)))
 
 
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     """The events as a stream, drained; the drift table it leaves."""
-    scored = _topics_of(_stream(spark, sf, "events", "event_id"), ELIGIBLE_TYPES).select("id", "dominant_topic")
     out = new_table_path(spark, "stream-drift")
-    jobs.drain(jobs.stream_drift(scored, out, f"{out}/checkpoint", Params(window=WINDOW)))
+
+    def start(events: DataFrame) -> DataStreamWriter:
+        scored = _topics_of(events, ELIGIBLE_TYPES).select("id", "dominant_topic")
+        return jobs.stream_drift(scored, out, f"{out}/checkpoint", Params(window=WINDOW))
+
+    _drain(_table(spark, sf, "events"), "event_id", start)
     return spark.read.parquet(f"{out}/windows").drop("closing_id", "batch_id")
 
 
 def stream_normalize(spark: SparkSession, sf: str) -> DataFrame:
     """The documents as a stream, drained; the normalised table it leaves."""
     out = new_table_path(spark, "stream-normalize")
-    jobs.drain(jobs.stream_normalize(_untitled(_stream(spark, sf, "documents", "doc_id")), f"{out}/normalized", f"{out}/checkpoint"))
+    start = lambda docs: jobs.stream_normalize(_untitled(docs), f"{out}/normalized", f"{out}/checkpoint")
+    _drain(_table(spark, sf, "documents"), "doc_id", start)
     rows = spark.read.schema(schemas.NORMALIZED).parquet(f"{out}/normalized")
     return rows.select("id", "text", "original_length", "normalized_length")
 
 
 def stream_topics(spark: SparkSession, sf: str) -> DataFrame:
     """The documents as a stream of texts that are normalised already, scored by topics that learn along."""
-    texts = _stream(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("id"), "text")
     out = new_table_path(spark, "stream-topics")
-    jobs.drain(jobs.stream_topics(texts, f"{out}/scored", f"{out}/checkpoint", Params(topics=5, max_terms=500, epochs=3)))
+
+    def start(docs: DataFrame) -> DataStreamWriter:
+        texts = docs.select(F.col("doc_id").alias("id"), "text")
+        return jobs.stream_topics(texts, f"{out}/scored", f"{out}/checkpoint", Params(topics=5, max_terms=500, epochs=3))
+
+    _drain(_table(spark, sf, "documents"), "doc_id", start)
     scored = spark.read.parquet(f"{out}/scored")
     return scored.select("id", *_laws(scored))
 
@@ -391,9 +404,12 @@ def load_stage(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Modeled events as a stream, drained into the stage tables; FEATURES as written."""
-    modeled = stage_tables.modeled_record(_sparse(_topics_of(_stream(spark, sf, "events", "event_id"), ELIGIBLE_TYPES)))
     out = new_table_path(spark, "stream-sink")
-    jobs.drain(jobs.stream_sink(modeled, out, f"{out}/checkpoint"))
+
+    def start(events: DataFrame) -> DataStreamWriter:
+        return jobs.stream_sink(stage_tables.modeled_record(_sparse(_topics_of(events, ELIGIBLE_TYPES))), out, f"{out}/checkpoint")
+
+    _drain(_table(spark, sf, "events"), "event_id", start)
     return _flat(spark.read.parquet(f"{out}/FEATURES").drop("batch_id"))
 
 
