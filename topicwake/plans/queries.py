@@ -371,12 +371,11 @@ def stream_normalize(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_topics(spark: SparkSession, sf: str) -> DataFrame:
-    """The documents as a stream of texts that are normalised already, scored by topics that learn along."""
+    """The documents as a stream, normalised and scored by topics that learn along."""
     out = new_table_path(spark, "stream-topics")
 
     def start(docs: DataFrame) -> DataStreamWriter:
-        texts = docs.select(F.col("doc_id").alias("id"), "text")
-        return jobs.stream_topics(texts, f"{out}/scored", f"{out}/checkpoint", Params(topics=5, max_terms=500, epochs=3))
+        return jobs.stream_topics(normalize_docs(_untitled(docs)), f"{out}/scored", f"{out}/checkpoint", Params())
 
     _drain(_table(spark, sf, "documents"), "doc_id", start)
     scored = spark.read.parquet(f"{out}/scored")
