@@ -1,0 +1,38 @@
+import pytest
+
+from topicwake.sources.stores import StoreError, arrow_address, open_store, remove_folder
+
+
+@pytest.mark.parametrize(
+    "spark_name,arrow_name",
+    [
+        ("s3a://bucket/a/b.parquet", "s3://bucket/a/b.parquet"),
+        ("S3N://bucket/a", "s3://bucket/a"),
+        ("wasbs://box@acct.blob.core.windows.net/a/b", "abfss://box@acct.dfs.core.windows.net/a/b"),
+        ("wasb://box@acct.blob.core.windows.net/a.blob.b", "abfs://box@acct.dfs.core.windows.net/a.blob.b"),
+        ("hdfs://name:8020/a", "hdfs://name:8020/a"),
+        ("file:///a/s3a://b", "file:///a/s3a://b"),
+        ("/plain/path", "/plain/path"),
+    ],
+)
+def test_addresses(spark_name, arrow_name):
+    assert arrow_address(spark_name) == arrow_name
+
+
+def test_local_files_in_either_form(tmp_path):
+    (tmp_path / "with space").write_bytes(b"x")
+    for uri in (f"{tmp_path}/with space", f"file://{tmp_path}/with%20space"):
+        store, path = open_store(uri)
+        assert store.open_input_file(path).read() == b"x"
+
+
+def test_unknown_stores_are_named():
+    with pytest.raises(StoreError, match="nosuch://a/b"):
+        open_store("nosuch://a/b")
+
+
+def test_remove_folder(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    spark.range(3).write.parquet(folder)
+    assert remove_folder(spark, folder) and not (tmp_path / "t").exists()
+    assert not remove_folder(spark, folder)

@@ -8,12 +8,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicwake.session import materialize
+from topicwake.sources.stores import open_store
 
 _CHUNK = 4 << 20
 _MANIFEST = "file_name string"
@@ -44,8 +44,8 @@ def landed_files(spark: SparkSession, manifest: str) -> DataFrame:
 
 def _copy(source: str, target: str, name: str) -> None:
     """The file as it is, chunk by chunk, under its name only when complete."""
-    store, path = fs.FileSystem.from_uri(source)
-    out, folder = fs.FileSystem.from_uri(target)
+    store, path = open_store(source)
+    out, folder = open_store(target)
     pq.read_schema(path, filesystem=store)  # refuses what is no parquet file
     out.create_dir(folder, recursive=True)
     part = f"{folder}/_{name}.{uuid.uuid4().hex}"
@@ -56,7 +56,7 @@ def _copy(source: str, target: str, name: str) -> None:
 
 
 def _record(manifest: str, name: str) -> None:
-    store, folder = fs.FileSystem.from_uri(manifest)
+    store, folder = open_store(manifest)
     store.create_dir(folder, recursive=True)
     with store.open_output_stream(f"{folder}/{name}.json") as out:
         out.write((json.dumps({"file_name": name}) + "\n").encode())
@@ -68,7 +68,7 @@ def land_new_files(spark: SparkSession, source: str, target: str, manifest: str)
     One job over the listing: tasks copy their files as they are, with all columns, and record each
     in the manifest as soon as it has landed. A file that fails does not stop the others; a rerun tries only what is not
     recorded. A file landed but not recorded, because its executor was lost, is copied again under the same name.
-    Folders must be named by paths that Arrow's file systems open on the executors.
+    Tasks open both folders by :func:`~topicwake.sources.stores.open_store`.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(source)
     wanted = listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path")
