@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from topicwake.sources.stores import remove_folder
 
 #: Splits from which a scan keeps a cluster busy by itself.
 SPLITS = 32
@@ -49,7 +50,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that :func:`materialize` wrote, once nothing reads them any more: no result that is still to be worked out."""
+    for table in tables:
+        remove_folder(table.sparkSession, table._written)
 
 
 def spread(df: DataFrame) -> DataFrame:
