@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicwake.llm import sql
 from topicwake.llm.decontaminate import benchmark_passages
+from topicwake.llm.merkle import folded, merkle_manifest, proof_hash, record_hash
 from topicwake.llm.minhash import near_duplicates
 from topicwake.llm.packing import pack
 from topicwake.llm.quality import quality
@@ -82,6 +84,24 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields]
+    tampered = F.when(chosen, record_hash(*changed))
+    found = merkle_manifest(_table(spark, sf, "documents"), fields, carry={"tampered": tampered})
+    found = found.withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof_hash(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,9 +115,40 @@ QUERIES = {
         op8_token_files,
         op9_exact_top_k,
         op10_token_counts,
+        op13_merkle_manifest,
     )
 }
+def _sized(*fields: str) -> str:
+    return "sha256(concat(" + ", ".join(f"case when {c} is null then '-' else octet_length(encode({c}::varchar)) || ':' || {c} end" for c in fields) + "))"
+
+
 ORACLES: dict[str, str] = {
+    "op13_merkle_manifest": f"""
+        with recursive rows as (
+            select doc_id, lang, {_sized("doc_id", "source", "lang", "n_chars", "text")} as node,
+                case when {sql.crc32("doc_id::varchar")} % 7 = 0 then {_sized("doc_id", "source", "lang", "(n_chars + 1)", "text")} end as changed
+            from documents
+        ), docs as (
+            select doc_id, lang as grp, row_number() over (partition by lang order by doc_id nulls first, node) - 1 as idx, node,
+                count(*) over (partition by lang) as cnt, coalesce(changed, node) as changed from rows
+        ), {sql.merkle("low", "docs")},
+        tops as (
+            select 0 as grp, grp as lang, row_number() over (order by encode(grp) nulls first) - 1 as idx, node, count(*) over () as cnt, node as changed
+            from low_lv where cnt = 1
+        ), {sql.merkle("high", "tops")},
+        ends(doc_id, leaf, subroot, grp, idx, level, spot, cnt, changed, siblings) as (
+            select d.doc_id, d.node, t.node, 0, t.idx, cast(0 as bigint), t.idx, t.cnt, p.folded, p.siblings || q.siblings
+            from docs d join low_proof p on p.grp is not distinct from d.grp and p.idx = d.idx
+            join tops t on t.lang is not distinct from d.grp join high_proof q on q.idx = t.idx
+            union all
+            select e.doc_id, e.leaf, e.subroot, e.grp, e.idx, e.level + 1, e.spot // 2, (e.cnt + 1) // 2,
+                case when s.node is null then sha256(e.changed) when e.spot % 2 = 0 then sha256(e.changed || s.node)
+                    else sha256(s.node || e.changed) end, e.siblings
+            from ends e left join high_lv s on s.level = e.level and s.idx = xor(e.spot, 1) where e.cnt > 1
+        )
+        select doc_id, leaf, subroot, root, sha256(siblings) as proof_sha256, changed as folded_root, changed = root as verified
+        from ends, (select node as root from high_lv where cnt = 1) where cnt = 1
+    """,
     "op9_exact_top_k": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
