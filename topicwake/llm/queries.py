@@ -12,12 +12,14 @@ from topicwake.llm.merkle import folded, merkle_manifest, proof_hash, record_has
 from topicwake.llm.minhash import near_duplicates
 from topicwake.llm.packing import pack
 from topicwake.llm.quality import quality
+from topicwake.llm.resampling import importance_resample
 from topicwake.llm.substring_dedup import substring_dedup
 from topicwake.llm.suffix_dedup import suffix_array_dedup
 from topicwake.llm.token_counts import token_counts
 from topicwake.llm.token_file import read_token_files, write_token_files
 from topicwake.llm.topk import exact_top_k
 from topicwake.llm.toxicity import toxicity
+from topicwake.llm.warc import read_archives, write_archives
 from topicwake.session import new_table_path
 
 
@@ -84,6 +86,17 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_warc_archives(spark: SparkSession, sf: str) -> DataFrame:
+    archives = write_archives(_table(spark, sf, "pages"), new_table_path(spark, "warc"))
+    chunks = read_archives(archives, data=False)
+    return chunks.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    found = importance_resample(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), percent=5, min_words=20)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -115,6 +128,8 @@ QUERIES = {
         op8_token_files,
         op9_exact_top_k,
         op10_token_counts,
+        op11_warc_archives,
+        op12_importance_resampling,
         op13_merkle_manifest,
     )
 }
@@ -122,7 +137,44 @@ def _sized(*fields: str) -> str:
     return "sha256(concat(" + ", ".join(f"case when {c} is null then '-' else octet_length(encode({c}::varchar)) || ':' || {c} end" for c in fields) + "))"
 
 
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_GRAMS = """list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))"""
+
+
+def _words_of(table: str, key: str) -> str:
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"select {key}, {words} as w from {table}"
+
+
 ORACLES: dict[str, str] = {
+    "op11_warc_archives": """
+        with p as (select page_id, coalesce(html, '') as html from pages),
+        q as (select page_id, octet_length(encode(html)) as payload_bytes, sha1(html) as payload_digest,
+            max(page_id) over (partition by html) as first from p)
+        select page_id, payload_bytes, payload_digest,
+            case when payload_bytes >= 1000 and page_id is distinct from first then 'revisit' else 'response' end as record_type,
+            case when payload_bytes >= 1000 and page_id is distinct from first then first end as refers_to from q
+    """,
+    "op12_importance_resampling": f"""
+        with words as ({_words_of("documents", "doc_id")}),
+        tally as (select doc_id, g, count(*) as c from (select doc_id, unnest({_GRAMS}) as g from words) group by all),
+        target as (select g, count(*) as c from (select unnest({_GRAMS}) as g from ({_words_of("benchmark", "item_id")})) group by all),
+        hashed as (select g, {sql.crc32("g")} % 10000 as b from (select g from tally union select g from target)),
+        s as (select b, sum(c) as n from tally join hashed using (g) group by b),
+        t as (select b, sum(c) as n from target join hashed using (g) group by b),
+        totals as (select coalesce((select sum(n) from s), 0)::double as s_all, coalesce((select sum(n) from t), 0)::double as t_all),
+        gains as (select s.b, floor(1000 * ln((coalesce(t.n, 0)::double + 1) * (s_all + 10000) / ((s.n::double + 1) * (t_all + 10000))))::bigint as gain
+            from s left join t using (b), totals),
+        weights as (select doc_id, sum(c)::bigint as n_features, sum(c * gain)::bigint as weight
+            from tally join hashed using (g) join gains using (b) group by doc_id),
+        drawn as (select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+            coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::bigint::double + 0.5) / 4294967296)))::bigint as score
+            from words left join weights using (doc_id)),
+        ranked as (select *, row_number() over (order by n_words < 20, score desc, doc_id) as place,
+            5 * count(*) filter (where n_words >= 20) over () // 100 as many from drawn)
+        select doc_id, n_features, weight, score, case when place <= many then place end as rank from ranked
+    """,
     "op13_merkle_manifest": f"""
         with recursive rows as (
             select doc_id, lang, {_sized("doc_id", "source", "lang", "n_chars", "text")} as node,
