@@ -1,3 +1,4 @@
+import json
 from collections import Counter
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from topicwake import schemas
 from topicwake.plans import queries
 from topicwake.session import shared_folder
-from topicwake.sources import corpus, landing, stages
+from topicwake.sources import corpus, inventory, landing, stages
 
 
 def write(path, name, **columns):
@@ -57,9 +58,15 @@ def test_numbering_by_chunk_gives_the_same_ids(spark, tmp_path, monkeypatch):
     for name, n in (("a", 7), ("b", 1), ("c", 9)):
         write(tmp_path / "s", name, text=pa.array([f"{name}{i}" for i in range(n)]))
     small = corpus.scan_corpus(spark, str(tmp_path / "s")).orderBy("id").collect()
-    monkeypatch.setattr(corpus, "_BROADCAST_FILES", 0)
     monkeypatch.setattr(corpus, "_CHUNK_BITS", 1)
     assert corpus.scan_corpus(spark, str(tmp_path / "s")).orderBy("id").collect() == small
+    limited = corpus.scan_corpus(spark, str(tmp_path / "s"), max_rows=10).orderBy("id").collect()
+    assert limited == small[:10]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # the same plan, exchanged
+    try:
+        assert corpus.scan_corpus(spark, str(tmp_path / "s")).orderBy("id").collect() == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_absent_columns(spark, tmp_path):
@@ -102,13 +109,49 @@ def test_each_file_has_its_own_columns(spark, tmp_path):
 
 
 def test_stage_files(spark, tmp_path):
-    for name in ("batch_000002_x", "batch_000001_x"):
-        write(tmp_path / "s", name, text=pa.array([name]))
-    files = corpus.list_stage_files(spark, str(tmp_path / "s")).collect()
-    assert [f.file_name for f in files] == ["batch_000001_x.parquet", "batch_000002_x.parquet"]
-    one = corpus.load_stage(spark, str(tmp_path / "s"), schemas.CORPUS, "batch_000002_x.parquet")
-    assert [r.text for r in one.collect()] == ["batch_000002_x"]
-    assert corpus.load_stage(spark, str(tmp_path / "s"), schemas.CORPUS).count() == 2
+    for folder in ("x", "y"):
+        (tmp_path / "s" / folder).mkdir(parents=True)
+        for name in ("batch_000002", "batch_000001"):
+            write(tmp_path / "s" / folder, name, id=pa.array([7, 3]), text=pa.array([f"{folder} {name}", "z"]))
+    top = str(tmp_path / "s")
+    files = corpus.list_stage_files(spark, top).collect()
+    assert [f.file_name for f in files] == ["batch_000001.parquet", "batch_000002.parquet"] * 2
+    assert len({f.file_path for f in files}) == 4 and {(f.n_rows, f.least_id, f.greatest_id) for f in files} == {(2, 3, 7)}
+    for file in ("y/batch_000002.parquet", files[3].file_path):  # of several files of one name, the one that is meant
+        assert [r.text for r in corpus.load_stage(spark, top, schemas.CORPUS, file).collect()] == ["y batch_000002", "z"]
+    assert corpus.load_stage(spark, top, schemas.CORPUS).count() == 8
+
+
+def test_inventory_opens_new_files_only(spark, tmp_path, monkeypatch):
+    top, table = str(tmp_path / "s"), str(tmp_path / "inventory")
+    opened = []
+    real = inventory.inspect_files
+    monkeypatch.setattr(inventory, "inspect_files", lambda files, id_col: opened.append(files.count()) or real(files, id_col))
+    write(tmp_path / "s", "a", id=pa.array([1, 2]), text=pa.array(["x", None]))
+    write(tmp_path / "s", "b", id=pa.array([None, None], pa.int64()), score=pa.array([np.float16(1)] * 2))
+    first = {r.file_path.rsplit("/", 1)[1]: r for r in inventory.update_inventory(spark, top, table).collect()}
+    assert json.loads(first["a.parquet"].columns) == {"id": "int64", "text": "string"} and first["a.parquet"].greatest_id == 2
+    assert json.loads(first["b.parquet"].columns)["score"] == "halffloat" and first["b.parquet"].least_id is None
+    write(tmp_path / "s", "c", id=pa.array([9]), text=pa.array(["y"]))
+    assert inventory.update_inventory(spark, top, table).count() == 3
+    assert inventory.update_inventory(spark, top, table).count() == 3
+    write(tmp_path / "s", "a", id=pa.array([5, 6, 7]), text=pa.array(["other", "rows", "now"]))
+    (tmp_path / "s" / "b.parquet").unlink()
+    left = {r.file_path.rsplit("/", 1)[1]: r.n_rows for r in inventory.update_inventory(spark, top, table).collect()}
+    assert left == {"a.parquet": 3, "c.parquet": 1} and opened == [2, 1, 1]
+    rows = corpus.scan_corpus(spark, top, inventory=table).orderBy("id").collect()
+    assert [(r.id, r.text) for r in rows] == [(0, "other"), (1, "rows"), (2, "now"), (3, "y")] and opened == [2, 1, 1]
+
+
+@pytest.mark.parametrize("partitions", [8, 10, 13])
+def test_load_stage_query_for_any_number_of_partitions(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = queries.load_stage(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found) == len({r.doc_id for r in found}) == 200 and all(r.filled for r in found)
 
 
 def test_broken_json_is_set_aside(spark, tmp_path):

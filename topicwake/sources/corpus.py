@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 
-import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicwake import schemas
 from topicwake.session import materialize
+from topicwake.sources.inventory import inspect_folder, update_inventory
 
-# Beyond this many files the table of file offsets is joined by shuffle instead of broadcast;
-# at about 200 bytes a file the broadcast stays below 10 MB.
-_BROADCAST_FILES = 50_000
 _CHUNK_BITS = 20
 
 
@@ -65,7 +60,7 @@ def apply_defaults(df: DataFrame, columns: list[str] | None = None, null_as_none
 
 def _files(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     paths = [path] if isinstance(path, str) else path
-    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(*paths)
+    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(*paths)
 
 
 # How a column's type in a file is declared to Spark; half precision is read as bytes and repaired.
@@ -82,37 +77,10 @@ _DECLARED = {
 }
 
 
-def file_columns(spark: SparkSession, path: str) -> DataFrame:
-    """(path, columns): the corpus columns of every parquet file and their types, as ``name=type`` joined by ``|``.
-
-    One task reads the footers of many files. Where the executors' Arrow cannot open the store, Spark's own
-    schema of the file is asked for instead, file by file; that cannot tell half precision.
-    """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
-    names = schemas.CORPUS.fieldNames()
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for uri in batch.column(0).to_pylist():
-                try:
-                    store, name = fs.FileSystem.from_uri(uri)
-                except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
-                    found.append(None)
-                    continue
-                schema = pq.read_schema(name, filesystem=store)
-                kinds = {f.name: f.type for f in schema if f.name in names}
-                plain = {n: f"list<{k.value_type}>" if pa.types.is_list(k) or pa.types.is_large_list(k) else str(k) for n, k in kinds.items()}
-                found.append("|".join(f"{n}={plain[n]}" for n in names if n in plain))
-            yield pa.record_batch([batch.column(0), pa.array(found, pa.string())], names=["path", "columns"])
-
-    files = max(1, min(listing.count(), 64 * spark.sparkContext.defaultParallelism))
-    table = materialize(listing.repartition(files, "path").mapInArrow(read, "path string, columns string"), "footers")
-    unread = [r.path for r in table.where("columns is null").select("path").toLocalIterator()]
-    if not unread:
-        return table
-    asked = [(x, "|".join(f"{n}=" for n in names if n in spark.read.parquet(x).columns)) for x in unread]
-    return table.where("columns is not null").unionByName(spark.createDataFrame(asked, "path string, columns string"))
+def _corpus_columns() -> Column:
+    """The corpus columns of a file of the inventory, as ``name=type`` joined by ``|``."""
+    kinds = F.from_json("columns", "map<string, string>")
+    return F.concat_ws("|", *[F.concat(F.lit(f"{n}="), kinds[n]) for n in schemas.CORPUS.fieldNames()])
 
 
 def _declared(columns: str) -> T.StructType:
@@ -120,16 +88,15 @@ def _declared(columns: str) -> T.StructType:
     return T.StructType([T.StructField(f.name, _DECLARED.get(kinds[f.name], f.dataType)) for f in schemas.CORPUS if f.name in kinds])
 
 
-def _placed(rows: DataFrame) -> DataFrame:
+def placed_rows(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
 
 
-def _file_offsets(placed: DataFrame) -> DataFrame:
-    """(_file, _n, _offset): rows of each file and of all files before it in path order.
+def _file_offsets(per_file: DataFrame) -> DataFrame:
+    """(_file, _n, _offset) of (_file, _n): rows of each file and of all files before it in path order.
 
     Files are ranged over partitions by path; sums run inside a partition, and over the partitions.
     """
-    per_file = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     ranged = materialize(per_file.repartitionByRange("_file").withColumn("_part", F.spark_partition_id()), "files")
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     parts = ranged.groupBy("_part").agg(F.sum("_n").alias("_sum"))
@@ -138,51 +105,60 @@ def _file_offsets(placed: DataFrame) -> DataFrame:
     return ranged.join(bases, "_part").select("_file", "_n", (F.col("_base") + inside).alias("_offset"))
 
 
+def rows_per_file(placed: DataFrame) -> DataFrame:
+    return placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+
+
 def number_rows(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Dense ``id`` for a parquet scan: files in path order, rows in file order.
 
     The count per file needs the file metadata only, and the row's place in its file comes with the
-    scan, so numbering neither sorts nor shuffles the rows while the offsets of the files, counted first, are few
-    enough to broadcast. Beyond 50,000 files both sides meet by file and chunk of 2^20 rows, which splits a huge file.
+    scan, so numbering neither sorts nor windows the rows. They meet the offsets by file and chunk of 2^20 rows: a broadcast where Spark
+    measures the table of offsets as small, else an exchange in which a huge file is split.
     """
-    return _number(_placed(rows), max_rows)
+    placed = placed_rows(rows)
+    return number_placed(placed, rows_per_file(placed), max_rows)
+
 
+def number_placed(placed: DataFrame, per_file: DataFrame, max_rows: int | None = None, start: int = 0) -> DataFrame:
+    """``placed`` rows with ``id``, counted on from ``start`` through the files of ``per_file`` (_file, _n); ids of ``max_rows`` and more are left out.
 
-def _number(placed: DataFrame, max_rows: int | None) -> DataFrame:
-    offsets = materialize(_file_offsets(placed), "offsets")
+    For a limit the driver learns one path, the last one that is needed; files behind it are not read.
+    """
+    offsets = _file_offsets(per_file).withColumn("_offset", F.col("_offset") + start)
+    chunks = F.sequence(F.lit(0).cast("long"), F.shiftright(F.col("_n") - 1, _CHUNK_BITS))
+    offsets = offsets.where("_n > 0").withColumn("_chunk", F.explode(chunks))
     if max_rows is not None:
-        # every listed file holds a wanted row, so this is at most max_rows files; only those are scanned
-        wanted = [r[0] for r in offsets.where((F.col("_offset") < max_rows) & (F.col("_n") > 0)).select("_file").collect()]
-        placed = placed.where(F.col("_file").isin(wanted))
-        offsets = offsets.where(F.col("_offset") < max_rows)
-    if offsets.count() <= _BROADCAST_FILES:
-        joined = placed.join(F.broadcast(offsets.drop("_n")), "_file")
-    else:
-        chunks = F.sequence(F.lit(0).cast("long"), F.shiftright(F.col("_n") - 1, _CHUNK_BITS))
-        joined = placed.withColumn("_chunk", F.shiftright("_row", _CHUNK_BITS)).join(
-            offsets.withColumn("_chunk", F.explode(chunks)).drop("_n"), ["_file", "_chunk"]
-        )
+        offsets = offsets.where((F.col("_offset") < max_rows) & (F.shiftleft("_chunk", _CHUNK_BITS) + F.col("_offset") < max_rows))
+    offsets = materialize(offsets.drop("_n"), "offsets")
+    if max_rows is not None:
+        placed = placed.where(F.col("_file") <= F.lit(offsets.agg(F.max("_file")).first()[0]))
+    joined = placed.withColumn("_chunk", F.shiftright("_row", _CHUNK_BITS)).join(offsets, ["_file", "_chunk"])
     numbered = joined.withColumn("id", F.col("_offset") + F.col("_row")).drop("_file", "_row", "_offset", "_chunk")
     return numbered if max_rows is None else numbered.where(F.col("id") < max_rows)
 
 
-def scan_corpus(spark: SparkSession, path: str, max_rows: int | None = None, null_as_none: bool = True) -> DataFrame:
+def scan_corpus(
+    spark: SparkSession, path: str, max_rows: int | None = None, null_as_none: bool = True, inventory: str | None = None
+) -> DataFrame:
     """The raw stage of a folder of parquet files: id, title, text, score, reddit_scores.
 
     Files may differ: each is read with its own columns and types, and gets the defaults of those it lacks;
-    half-precision columns are repaired. A file without a text column is an error.
+    half-precision columns are repaired. A file without a text column is an error. ``inventory`` names a stored table of the files' columns
+    and row counts, which is brought up to date; without one, all footers are looked into. Rows are numbered by these counts.
     """
-    files = file_columns(spark, path)
+    known = update_inventory(spark, path, inventory) if inventory else inspect_folder(spark, path)
+    files = materialize(known.select("file_path", "n_rows", _corpus_columns().alias("columns")), "kinds")
     kinds = [r.columns for r in files.select("columns").distinct().collect()]  # one row a kind of file
     parts = []
     for columns in sorted(kinds):
         declared = _declared(columns)
+        mine = files.where(F.col("columns") == columns)
         if "text" not in declared.fieldNames():
-            lacking = files.where(F.col("columns") == columns).first().path
-            raise ValueError(f"the corpus file {lacking} has no text column")
-        # Spark lists the files on the driver in any case; one kind of file needs the folder only
-        source = path if len(kinds) == 1 else [r.path for r in files.where(F.col("columns") == columns).collect()]
-        rows = _placed(_files(spark, source, declared))
+            raise ValueError(f"the corpus file {mine.first().file_path} has no text column")
+        # one kind of file needs the folder only; several need their files by name, as Spark's reader takes them
+        source = path if len(kinds) == 1 else [r.file_path for r in mine.select("file_path").toLocalIterator()]
+        rows = placed_rows(_files(spark, source, declared))
         halves = [f.name for f in declared if f.dataType == T.BinaryType()]
         rows = rows.withColumns({name: repair_float16(F.col(name)) for name in halves})
         rows = apply_defaults(rows, declared.fieldNames(), null_as_none)
@@ -192,24 +168,22 @@ def scan_corpus(spark: SparkSession, path: str, max_rows: int | None = None, nul
     placed = parts[0]
     for more in parts[1:]:
         placed = placed.unionByName(more)
-    return _number(placed, max_rows).select(*schemas.RAW.fieldNames())
+    per_file = files.select(F.col("file_path").alias("_file"), F.col("n_rows").alias("_n"))
+    return number_placed(placed, per_file, max_rows).select(*schemas.RAW.fieldNames())
 
 
-def list_stage_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file_name, file_path, file_size) of the parquet files of a stage, sorted by path."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-    )
-    name = F.element_at(F.split("path", "/"), -1)
-    return listing.select(name.alias("file_name"), F.col("path").alias("file_path"), F.col("length").alias("file_size")).orderBy(
-        "file_path"
-    )
+def list_stage_files(spark: SparkSession, path: str, inventory: str | None = None, id_col: str = "id") -> DataFrame:
+    """(file_name, file_path, file_size, n_rows, least_id, greatest_id) of the parquet files of a stage, sorted by path.
+
+    ``file_path`` names a file; several may have one name. With a stored ``inventory``, only files new to it are opened.
+    """
+    known = update_inventory(spark, path, inventory, id_col) if inventory else inspect_folder(spark, path, id_col)
+    name = F.element_at(F.split("file_path", "/"), -1)
+    return known.select(name.alias("file_name"), "file_path", "file_size", "n_rows", "least_id", "greatest_id").orderBy("file_path")
 
 
-def load_stage(spark: SparkSession, path: str, schema: T.StructType, file_name: str | None = None) -> DataFrame:
-    """A stage table, or one of its files; Spark lists the folder and prunes it to the named file."""
-    rows = _files(spark, path, schema)
-    return rows if file_name is None else rows.where(F.col("_metadata.file_name") == file_name)
+def load_stage(spark: SparkSession, path: str, schema: T.StructType, file: str | None = None) -> DataFrame:
+    """A stage table, or one of its files by its path below ``path`` or its whole path; no other file is listed or read."""
+    if file is None:
+        return _files(spark, path, schema)
+    return spark.read.schema(schema).parquet(file if re.match(r"/|\w+:", file) else f"{path.rstrip('/')}/{file}")
