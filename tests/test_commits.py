@@ -1,0 +1,83 @@
+import pytest
+from pyspark.sql import functions as F
+from tests_helpers import modeled_rows
+
+from topicwake.sources import commits, stage_tables
+from topicwake.sources.commits import commit_log, compact_commits, live_commits, vacuum
+from topicwake.sources.stage_tables import TABLES, read_stage
+
+def write_stages(rows, out, **how):
+    return stage_tables.write_stages(rows, out, F.timestamp_seconds(F.lit(1704164645)), **how)
+
+
+
+def seen(spark, out):
+    """The ids of each table, and of the manifest's batches."""
+    ids = {n: sorted(r.id for r in read_stage(spark, out, n).collect()) for n in ("RAW", "PROCESSED", "FEATURES")}
+    return ids, sorted((r.batch_num, r.record_count) for r in read_stage(spark, out, "METADATA").collect())
+
+
+def wanted(ids, batches):
+    return {n: list(ids) for n in ("RAW", "PROCESSED", "FEATURES")}, batches
+
+
+@pytest.mark.parametrize("broken", ["RAW", "PROCESSED", "FEATURES", "METADATA", "COMMITS"])
+def test_a_write_that_breaks_off_is_not_seen(spark, tmp_path, monkeypatch, broken):
+    """Whichever table it breaks off at, readers see the old batch whole; after the next try the new one whole."""
+    out = str(tmp_path / "out")
+    write_stages(modeled_rows(spark, 0, 12), out, batch="b=0", batch_num=1)
+    assert seen(spark, out) == wanted(range(12), [(1, 12)])
+    real = stage_tables.commit_tables
+
+    def breaks(spark_, path, tables, batch):
+        if broken == "COMMITS":
+            monkeypatch.setattr(commits, "commit_log", lambda *a: (_ for _ in ()).throw(RuntimeError("gone")))
+            return real(spark_, path, tables, batch)
+
+        def fail(folder):
+            tables[broken](folder)
+            raise RuntimeError("gone")
+
+        return real(spark_, path, {**tables, broken: fail}, batch)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(stage_tables, "commit_tables", breaks)
+        for batch, rows in (("b=0", modeled_rows(spark, 0, 5)), ("b=1", modeled_rows(spark, 12, 15))):
+            with pytest.raises(RuntimeError):
+                write_stages(rows, out, batch=batch, batch_num=2)
+    monkeypatch.undo()
+    assert seen(spark, out) == wanted(range(12), [(1, 12)])
+    write_stages(modeled_rows(spark, 12, 15), out, batch="b=1", batch_num=2)
+    assert seen(spark, out) == wanted(range(15), [(1, 12), (2, 3)])
+    write_stages(modeled_rows(spark, 0, 5), out, batch="b=0", batch_num=1)
+    assert seen(spark, out) == wanted([*range(5), 12, 13, 14], [(1, 5), (2, 3)])
+
+
+def test_nothing_committed_is_empty(spark, tmp_path):
+    assert live_commits(spark, str(tmp_path)).count() == 0
+    for name, schema in TABLES.items():
+        rows = read_stage(spark, str(tmp_path / "none"), name)
+        assert rows.count() == 0 and rows.columns == schema.fieldNames()
+
+
+def test_records_are_put_together_and_old_versions_go(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for n in (3, 4, 5):
+        write_stages(modeled_rows(spark, 0, n), out, batch="b=0")
+    write_stages(modeled_rows(spark, 10, 12), out, batch="b=1")
+    before = live_commits(spark, out).orderBy("batch").collect()
+    assert [(r.batch, r.sequence) for r in before] == [("b=0", 3), ("b=1", 4)] and set(before[0].tables) == set(TABLES)
+    compact_commits(spark, out, many=3)
+    assert commit_log(spark, out).count() == 2 and live_commits(spark, out).orderBy("batch").collect() == before
+    assert vacuum(spark, out, list(TABLES)) == 0  # too young
+    assert vacuum(spark, out, list(TABLES), keep_seconds=-60) == 8
+    assert seen(spark, out)[0] == wanted([0, 1, 2, 3, 4, 10, 11], [])[0]
+
+
+def test_only_live_versions_are_read(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for n in (30, 40, 2):
+        write_stages(modeled_rows(spark, 0, n), out)
+    rows = read_stage(spark, out, "FEATURES")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower() and rows.count() == 2

@@ -64,13 +64,13 @@ def test_write_stages(spark, tmp_path):
     )
     for _ in range(2):  # a second run replaces the first
         stage_tables.write_stages(rows, out, clock(), raw=raw, batch_size=10)
-    assert spark.read.parquet(f"{out}/RAW").orderBy("id").first().asDict() == {
+    assert stage_tables.read_stage(spark, out, "RAW").orderBy("id").first().asDict() == {
         "id": 0, "title": "T", "text": "Raw!", "score": 0.5, "reddit_scores": "[4]"
     }
-    assert spark.read.parquet(f"{out}/PROCESSED").columns == ["id", "text", "original_length", "normalized_length", "score"]
-    features = spark.read.parquet(f"{out}/FEATURES")
+    assert stage_tables.read_stage(spark, out, "PROCESSED").columns == ["id", "text", "original_length", "normalized_length", "score"]
+    features = stage_tables.read_stage(spark, out, "FEATURES")
     assert features.count() == 25 and features.columns[:3] == ["id", "text", "title"] and len(features.columns) == 14
-    manifest = spark.read.schema(schemas.MANIFEST).json(f"{out}/METADATA").orderBy("batch_num").collect()
+    manifest = stage_tables.read_stage(spark, out, "METADATA").orderBy("batch_num").collect()
     assert [r.record_count for r in manifest] == [10, 10, 5]
 
 
@@ -86,7 +86,7 @@ def test_whole_run_over_a_corpus(spark, tmp_path):
     corpus.write.parquet(str(tmp_path / "in"))
     params = Params(topics=4, window=20, epochs=3)
     analysis = analyse_corpus(spark, str(tmp_path / "in"), str(tmp_path / "out"), clock(), params)
-    features = spark.read.parquet(str(tmp_path / "out" / "FEATURES")).orderBy("id").collect()
+    features = stage_tables.read_stage(spark, str(tmp_path / "out"), "FEATURES").orderBy("id").collect()
     assert [r.id for r in features] == list(range(200))
     assert [r.window_id for r in features] == [i // 20 for i in range(200)]
     windows = {r.window_id: r for r in analysis.windows.collect()}
@@ -97,7 +97,7 @@ def test_whole_run_over_a_corpus(spark, tmp_path):
         assert (r.drift_detected, r.js_divergence, r.drift_magnitude) == wanted
         assert sum(r.topic_distribution) == pytest.approx(1, abs=1e-3) and len(r.top_words) == 10
     texts = {r.doc_id: r.text for r in docs.collect()}
-    assert {r.id: r.text for r in spark.read.parquet(str(tmp_path / "out" / "RAW")).collect()} == texts
-    processed = spark.read.parquet(str(tmp_path / "out" / "PROCESSED")).collect()
+    assert {r.id: r.text for r in stage_tables.read_stage(spark, str(tmp_path / "out"), "RAW").collect()} == texts
+    processed = stage_tables.read_stage(spark, str(tmp_path / "out"), "PROCESSED").collect()
     assert all(r.original_length == len(texts[r.id]) and r.normalized_length == len(r.text) for r in processed)
-    assert spark.read.json(str(tmp_path / "out" / "METADATA")).count() == 2
+    assert stage_tables.read_stage(spark, str(tmp_path / "out"), "METADATA").count() == 2

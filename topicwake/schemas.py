@@ -54,6 +54,31 @@ MODELED = T.StructType(
     ]
 )
 
+#: The stage tables.
+RAW_TABLE = T.StructType([*RAW.fields[:4], T.StructField("reddit_scores", T.StringType())])
+PROCESSED = T.StructType([NORMALIZED[n] for n in ("id", "text", "original_length", "normalized_length", "score")])
+FEATURES = T.StructType(
+    [
+        MODELED[n]
+        for n in (
+            "id",
+            "text",
+            "title",
+            "score",
+            "original_length",
+            "normalized_length",
+            "model_version",
+            "dominant_topic",
+            "topic_distribution",
+            "top_words",
+            "window_id",
+            "drift_detected",
+            "js_divergence",
+            "drift_magnitude",
+        )
+    ]
+)
+
 MANIFEST = T.StructType(
     [
         T.StructField("batch_num", T.LongType()),

@@ -2,32 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicwake import schemas
 from topicwake.functions.scalars import batch_name, json_list, utc_stamp
 from topicwake.operators.ids import rows_before
+from topicwake.sources.commits import commit_tables, read_committed
 
 BATCH_SIZE = 100
-# The label written when the caller names no model, and the columns of the FEATURES table.
+# Fixed value: the label written when the caller names no model.
 MODEL_VERSION = "sklearn-lda-v1"
-_FEATURES = [
-    "id",
-    "text",
-    "title",
-    "score",
-    "original_length",
-    "normalized_length",
-    "model_version",
-    "dominant_topic",
-    "topic_distribution",
-    "top_words",
-    "window_id",
-    "drift_detected",
-    "js_divergence",
-    "drift_magnitude",
-]
 
 
 def modeled_record(df: DataFrame, model_version: str = MODEL_VERSION) -> DataFrame:
@@ -94,7 +79,7 @@ def features_table(modeled: DataFrame) -> DataFrame:
         "js_divergence": F.lit(0.0),
         "drift_magnitude": F.lit("none"),
     }
-    return modeled.select(*[F.coalesce(n, defaults[n]).alias(n) if n in defaults else n for n in _FEATURES])
+    return modeled.select(*[F.coalesce(n, defaults[n]).alias(n) if n in defaults else n for n in schemas.FEATURES.fieldNames()])
 
 
 def split_stages(
@@ -134,6 +119,10 @@ def named_batches(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("batch_name", batch_name(F.col("batch_num"), F.col("timestamp")))
 
 
+#: The tables of a batch, and how each is read.
+TABLES = {"RAW": schemas.RAW_TABLE, "PROCESSED": schemas.PROCESSED, "FEATURES": schemas.FEATURES, "METADATA": schemas.MANIFEST}
+
+
 def write_stages(
     modeled: DataFrame,
     path: str,
@@ -142,32 +131,32 @@ def write_stages(
     normalized: DataFrame | None = None,
     source: str | None = None,
     batch_size: int = BATCH_SIZE,
-    partition: str = "",
+    batch: str = "",
     dense: bool = False,
     batch_num: int | None = None,
-) -> None:
-    """Write RAW, PROCESSED and FEATURES as parquet and METADATA as JSON below ``path``.
+) -> str:
+    """Write RAW, PROCESSED and FEATURES as parquet and METADATA as JSON below ``path``, visible all at once; returns the version.
 
     Each table reads only its own columns, so ``modeled`` should rest on a written table.
-    ``partition`` names a subfolder, such as ``batch_id=7``, that a replay overwrites; ``batch_num``
-    makes all rows one batch of the manifest. Writing into the corpus folder is refused, since the files
+    ``batch`` names what this call writes, such as ``batch_id=7``; a replay replaces it as a whole. ``batch_num``
+    makes all rows one batch of the manifest. Read with :func:`read_stage`. Writing into the corpus folder is refused, since the files
     would be read as new documents.
     """
     if source is not None and _overlaps(source, path):
         raise ValueError("the stage tables must not be written into the corpus folder")
-    for name, table in split_stages(modeled, raw, normalized).items():
-        table.write.mode("overwrite").parquet(_below(path, name.upper(), partition))
     ids = (modeled if raw is None else raw).select("id")
-    if batch_num is None:
-        batched = numbered_batches(ids, batch_size, dense)
-    else:
-        batched = ids.withColumn("batch_num", F.lit(batch_num).cast("long"))
-    manifest = batch_manifest(batched, clock)
-    manifest.write.mode("overwrite").json(_below(path, "METADATA", partition))
+
+    def manifest(folder: str) -> None:
+        batched = numbered_batches(ids, batch_size, dense) if batch_num is None else ids.withColumn("batch_num", F.lit(batch_num).cast("long"))
+        batch_manifest(batched, clock).write.json(folder)
+
+    tables = {name.upper(): table.write.parquet for name, table in split_stages(modeled, raw, normalized).items()}
+    return commit_tables(modeled.sparkSession, path, {**tables, "METADATA": manifest}, batch)
 
 
-def _below(path: str, *parts: str) -> str:
-    return "/".join([path.rstrip("/"), *filter(None, parts)])
+def read_stage(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One of ``TABLES`` as the latest commit of each batch left it; empty if nothing has been committed."""
+    return read_committed(spark, path, name, TABLES[name], "json" if name == "METADATA" else "parquet")
 
 
 def _overlaps(a: str, b: str) -> bool:
