@@ -165,6 +165,18 @@ select term, count(*) mass from words join places using (id) join kept using (te
 select count(*) filter (where not broken) good, cast(sum(conv_id) filter (where not broken) as bigint) sum_of_ids,
   count(*) filter (where broken) bad from c""",
     "load_stage": "select doc_id, lang, true as filled from documents",
+    "dead_letters": r"""with c as (select conv_id * 100 + turn as place, turn, case when (conv_id * 100 + turn) % 13 = 0 then ' ' else text end as text
+  from conversations),
+w as (select *, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') as words,
+  case when place % 7 = 0 then 'decode' when place % 11 = 0 then 'cast' when place % 13 = 0 then 'score' end as step from c)
+select place, case when step is null then cast(turn as double) end as score,
+  case when step is null then round(list_sum(list_transform(words, lambda x: length(x))) / len(words), 6) end as mean_word, step,
+  case step when 'decode' then 'no JSON object of the stage' when 'cast' then concat('score is no double: x', turn)
+    when 'score' then 'ZeroDivisionError: division by zero' end as reason from w""",
+    "file_inventory": """select count(*) n_rows, min(doc_id) least_id, max(doc_id) greatest_id, cast(0 as bigint) opened_again
+from documents""",
+    "stream_ingest": """select row_number() over (order by doc_id) - 1 as id, '' as title, coalesce(text, 'None') as text,
+  cast(0.0 as double) score, '[]' as reddit_scores from documents""",
     "stream_drift": f"with {_DRIFT} select * from dw",
     "stream_normalize": f"with {_CLEAN} select id, text, original_length, normalized_length from lens",
     "modeled_record": _SPARSE,

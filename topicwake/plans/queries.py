@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from topicwake import schemas
 from topicwake.functions import scalars
 from topicwake.functions.text import normalize_text
-from topicwake.operators import drift, ids, online_lda, topics, vocabulary
+from topicwake.operators import drift, ids, online_lda, outcomes, topics, vocabulary
 from topicwake.operators.normalize import normalize_docs
 from topicwake.plans import reports
 from topicwake.plans.modeling import Params, analyse_docs, run_modeling
 from topicwake.session import materialize, new_table_path, spread
-from topicwake.sources import corpus, landing, stage_tables, stages
+from topicwake.sources import corpus, inventory, landing, stage_tables, stages
 from topicwake.streaming import jobs
 
 WINDOW = 50
@@ -392,13 +394,73 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return good.agg(F.count(F.lit(1)).alias("good"), F.sum("id").alias("sum_of_ids")).withColumn("bad", bad.agg(F.count(F.lit(1))).scalar())
 
 
+def _mean_word(texts: pa.Array) -> pa.Array:
+    """Letters a word of each text; a text without words is an error, which stands for any a scoring step may meet."""
+    return pa.array([sum(map(len, words)) / len(words) for words in (t.split() for t in texts.to_pylist())], pa.float64())
+
+
+def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations as messages of which some fail in decoding, some in casting and some in scoring; the outcome of every message."""
+    turns = _table(spark, sf, "conversations")
+    place = F.col("conv_id") * 100 + F.col("turn")
+    text = F.when(place % 13 == 0, F.lit(" ")).otherwise(F.col("text"))
+    score = F.when(place % 11 == 0, F.concat(F.lit("x"), F.col("turn"))).otherwise(F.col("turn").cast("string"))
+    line = F.to_json(F.struct(F.col("conv_id").alias("id"), F.col("role").alias("title"), text.alias("text"), score.alias("score")))
+    messages = turns.select(place.alias("place"), F.when(place % 7 == 0, F.substring(line, 1, 5)).otherwise(line).alias("value"))
+    steps = [
+        outcomes.decode("decode", "value", T.StructType.fromDDL("id long, title string, text string, score string")),
+        outcomes.cast("cast", "score", "double"),
+        outcomes.apply_arrow("score", "mean_word", _mean_word, ["text"], "double"),
+    ]
+    done = outcomes.run_steps(messages, steps)
+    good, dead = outcomes.write_outcomes(done, new_table_path(spark, "outcomes"), ["place", "score", "mean_word"], ["place", "value"])
+    fine = good.select("place", "score", F.round("mean_word", 6).alias("mean_word"), F.lit(None).cast("string").alias("step"), F.lit(None).cast("string").alias("reason"))
+    return fine.unionByName(dead.drop("value"), allowMissingColumns=True)
+
+
 def load_stage(spark: SparkSession, sf: str) -> DataFrame:
-    """The documents as a stage of several files: each file's rows, read by the names the listing gives."""
-    path = _in_parts(_table(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
-    listing = corpus.list_stage_files(spark, path)
-    rows = corpus.load_stage(spark, path, _table(spark, sf, "documents").select("doc_id", "lang").schema)
-    named = rows.select("doc_id", "lang", F.col("_metadata.file_name").alias("file_name"))
-    return named.join(listing.select("file_name", (F.col("file_size") > 0).alias("filled")), "file_name").select("doc_id", "lang", "filled")
+    """The documents as a stage of several files: each file's rows, read by the paths the listing gives."""
+    docs = _table(spark, sf, "documents").select("doc_id", "lang")
+    path = _in_parts(docs, "doc_id")
+    listing = corpus.list_stage_files(spark, path, id_col="doc_id")
+    inside = F.col("doc_id").between(F.col("least_id"), F.col("greatest_id")) | F.col("least_id").isNull()
+    rows = corpus.load_stage(spark, path, docs.schema).select("doc_id", "lang", F.col("_metadata.file_path").alias("file_path"))
+    filled = ((F.col("file_size") > 0) & inside).alias("filled")
+    return rows.join(listing, "file_path").select("doc_id", "lang", filled)
+
+
+def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """The inventory of a stage that grows part by part, brought up to date after each: what it knows of all files, without their rows."""
+    docs = _table(spark, sf, "documents").select("doc_id", "lang")
+    stage, table = new_table_path(spark, "stage"), new_table_path(spark, "inventory")
+    known = None
+    for part in _id_parts(docs, "doc_id"):
+        part.write.mode("append").parquet(stage)
+        known = inventory.update_inventory(spark, stage, table, "doc_id")
+    totals = known.agg(F.sum("n_rows").alias("n_rows"), F.min("least_id").alias("least_id"), F.max("greatest_id").alias("greatest_id"))
+    looked = inventory.inventory(spark, table).count() - known.count()  # rows of the table that no file has: each file was opened once
+    return totals.withColumn("opened_again", F.lit(looked).cast("long"))
+
+
+def _id_parts(rows: DataFrame, id_col: str, parts: int = 4) -> list[DataFrame]:
+    """``rows`` in about equal parts by their ids, null ids in the first; each ranged and sorted, so that path order is id order."""
+    bounds = rows.approxQuantile(id_col, [p / parts for p in range(1, parts)], 0.001)
+    part = sum((F.when(F.col(id_col) > b, 1).otherwise(0) for b in bounds), F.lit(0))
+    order = F.col(id_col).asc_nulls_first()
+    files = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [rows.where(part == p).repartitionByRange(files, order).sortWithinPartitions(order) for p in range(parts)]
+
+
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as files that arrive in four parts, streamed in; ids go on from part to part."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    inbox, out = new_table_path(spark, "inbox"), new_table_path(spark, "stream-ingest")
+    for p, part in enumerate(_id_parts(docs, "doc_id")):
+        part.write.parquet(f"{inbox}/part={p}")
+        files = spark.readStream.schema(docs.schema).option("recursiveFileLookup", "true").parquet(inbox)
+        jobs.drain(jobs.stream_ingest(files, out, f"{out}/checkpoint"))
+    rows = spark.read.schema(schemas.RAW).parquet(*[f"{out}/batch_id={p}" for p in range(4)])
+    return rows.select("id", "title", "text", "score", scalars.json_list(F.col("reddit_scores")).alias("reddit_scores"))
 
 
 def stream_sink(spark: SparkSession, sf: str) -> DataFrame:
@@ -409,7 +471,7 @@ def stream_sink(spark: SparkSession, sf: str) -> DataFrame:
         return jobs.stream_sink(stage_tables.modeled_record(_sparse(_topics_of(events, ELIGIBLE_TYPES))), out, f"{out}/checkpoint")
 
     _drain(_table(spark, sf, "events"), "event_id", start)
-    return _flat(spark.read.parquet(f"{out}/FEATURES").drop("batch_id"))
+    return _flat(stage_tables.read_stage(spark, out, "FEATURES"))
 
 
 # ---- sinks ----
@@ -443,8 +505,8 @@ def write_stages(spark: SparkSession, sf: str) -> DataFrame:
     """The stage tables of the events, written; PROCESSED as read back, next to its batch in METADATA."""
     out = new_table_path(spark, "stages")
     stage_tables.write_stages(materialize(features(spark, sf), "features"), out, _clock())
-    rows = spark.read.parquet(f"{out}/PROCESSED")
-    manifest = spark.read.schema(schemas.MANIFEST).json(f"{out}/METADATA")
+    rows = stage_tables.read_stage(spark, out, "PROCESSED")
+    manifest = stage_tables.read_stage(spark, out, "METADATA")
     batches = stage_tables.numbered_batches(rows.select("id", "normalized_length"))
     totals = batches.groupBy("batch_num").agg(F.sum("normalized_length").alias("chars"))
     return totals.join(manifest, "batch_num")
@@ -576,7 +638,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_topics": stream_topics,
     "stream_sink": stream_sink,
     "quarantine": quarantine,
+    "dead_letters": dead_letters,
     "load_stage": load_stage,
+    "file_inventory": file_inventory,
+    "stream_ingest": stream_ingest,
     "modeled_record": modeled_record,
     "write_stages": write_stages,
     "split_raw": split_raw,
