@@ -210,3 +210,32 @@ def test_state_round_trip(spark):
     assert online_lda.state_from_rows(online_lda.state_rows(spark, None)) is None
     with pytest.raises(ValueError):
         online_lda.new_state([])
+
+
+def test_the_barrier_job_equals_a_job_an_update(spark, docs, monkeypatch):
+    """To 1e-9, with empty documents and a short last slice; one barrier job for the whole fit."""
+    _, terms = vectors_of(docs)
+    tokens = vocabulary.tokens_of(docs).select("id", "tokens")
+    empty = spark.createDataFrame([(10_000 + i, []) for i in range(7)], "id long, tokens array<string>")
+    vectors = vocabulary.vectorize(tokens.unionByName(empty), terms).persist()
+    start = online_lda.new_state(terms, k=3)
+    fits = []
+    real = online_lda._fit_by_barrier
+    monkeypatch.setattr(online_lda, "_fit_by_barrier", lambda *a: fits.append(a[-1]) or real(*a))
+    found = online_lda.first_fit(start, vectors, epochs=2, batch=32)
+    monkeypatch.setattr(online_lda, "_fit_by_barrier", lambda state, sliced, epochs, *_: online_lda._fit_by_jobs(state, sliced, epochs))
+    wanted = online_lda.first_fit(start, vectors, epochs=2, batch=32)
+    assert fits == [2] and found.updates == wanted.updates > 2
+    np.testing.assert_allclose(found.weights, wanted.weights, rtol=1e-9)
+    none = online_lda.first_fit(start, vectors.where("id < 0"), epochs=2, batch=32)
+    vectors.unpersist()
+    assert none is start
+
+
+def test_messages_carry_sums_exactly():
+    sums = np.zeros((50, 3))
+    sums[[3, 7, 49]] = np.random.default_rng(1).normal(size=(3, 3))
+    total = np.ones((50, 3))
+    online_lda._add_message(total, online_lda._message(sums))
+    online_lda._add_message(total, online_lda._message(np.zeros((50, 3))))
+    assert (total == 1 + sums).all()
