@@ -18,7 +18,7 @@ from topicwake.operators.normalize import normalize_docs
 from topicwake.plans import reports
 from topicwake.plans.modeling import Params, analyse_docs, run_modeling
 from topicwake.session import materialize, new_table_path, spread
-from topicwake.sources import corpus, inventory, landing, stage_tables, stages
+from topicwake.sources import corpus, inventory, landing, page_index, stage_tables, stages
 from topicwake.streaming import jobs
 
 WINDOW = 50
@@ -271,17 +271,19 @@ def lda_partial_fit(spark: SparkSession, sf: str) -> DataFrame:
     number of occurrences there.
     """
     tokens = materialize(clean_tokens(spark, sf), "tokens")
-    cores = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     places = ids.rows_before(tokens.select("id"), "id", name="place")
-    docs = materialize(tokens.join(places, "id").repartition(cores, "id"), "placed")
-    third = -(-docs.count() // 3)
-    parts = [docs.where(F.expr(f"place div {third}") == i).select("id", "tokens") for i in range(3)]
-    terms = vocabulary.vocabulary_terms(vocabulary.build_vocabulary(parts[0]))
-    vectors = [vocabulary.vectorize(part, terms) for part in parts]
-    state = online_lda.first_fit(online_lda.new_state(terms), vectors[0])
-    for batch in vectors[1:]:
+    third = F.expr(f"place div {-(-tokens.count() // 3)}").cast("int").alias("part")
+    path = new_table_path(spark, "thirds")
+    tokens.join(places, "id").select("id", "tokens", third).repartition("part", "id").write.partitionBy("part").parquet(path)
+    held = spark.read.schema("id long, tokens array<string>, part int").parquet(path)  # a part is a folder
+    first = held.where("part = 0").select("id", "tokens")
+    terms = vocabulary.vocabulary_terms(vocabulary.build_vocabulary(first))
+    vectors = materialize(vocabulary.vectorize(held, terms).drop("tokens"), "vectors")
+    batches = [vectors.where(F.col("part") == p).drop("part") for p in range(3)]
+    state = online_lda.first_fit(online_lda.new_state(terms), batches[0])
+    for batch in batches[1:]:
         state = online_lda.partial_fit(state, batch)
-    mass = online_lda.term_statistics(state, vectors[2])
+    mass = online_lda.term_statistics(state, batches[2])
     total = sum((F.col(f"s{t}") for t in range(1, state.k)), F.col("s0"))
     names = spark.createDataFrame(list(enumerate(terms)), "idx int, term string")  # the vocabulary, 5,000 rows at most
     return mass.join(names, F.col("idx") == mass["term"]).select(names["term"], F.round(total).cast("long").alias("mass"))
@@ -566,8 +568,11 @@ def sample_n(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The third page of the documents, by the index of the stage sorted by id."""
     docs = _table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-    return reports.text_page(docs, 3)
+    path = new_table_path(spark, "pages")
+    page_index.build_page_index(docs, path)
+    return reports.shown_fields(page_index.read_page(spark, path, docs.schema, 3))
 
 
 def on_features(report: Callable[..., DataFrame], *args: object) -> Callable[[SparkSession, str], DataFrame]:
@@ -579,11 +584,12 @@ def avg_js(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_topic_share(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(reports.window_topic_share(features(spark, sf)), "share")
+    """Shares need each row's window and topic only, so no drift result is worked out for them."""
+    return _rounded(reports.window_topic_share(windowed_events(spark, sf)), "share")
 
 
 def window_topic_table(spark: SparkSession, sf: str) -> DataFrame:
-    table = reports.window_topic_table(features(spark, sf), [-1, 0, 1, 2, 3])
+    table = reports.window_topic_table(windowed_events(spark, sf), [-1, 0, 1, 2, 3])
     named = table.withColumnRenamed("topic_-1", "topic_none")
     return _rounded(named, "topic_none", *[f"topic_{t}" for t in range(4)])
 

@@ -213,8 +213,8 @@ def page(df: DataFrame, number: int, page_size: int = PAGE_SIZE, id_col: str = "
     return df.join(F.broadcast(wanted), id_col).orderBy(id_col)  # page_size rows
 
 
-def text_page(docs: DataFrame, number: int, page_size: int = PAGE_SIZE, shown: int = 5) -> DataFrame:
-    """(id, snippet) of a page of documents, and of the record's other fields those that ``docs`` has:
+def shown_fields(docs: DataFrame, shown: int = 5) -> DataFrame:
+    """(id, snippet) of documents, and of the record's other fields those that ``docs`` has:
     dominant_topic, both lengths and the first words of the topic."""
     fields = {
         "id": F.col("id"),
@@ -224,9 +224,13 @@ def text_page(docs: DataFrame, number: int, page_size: int = PAGE_SIZE, shown: i
         "top_words": first_words(F.col("top_words"), shown),
         "text": snippet(F.col("text")),
     }
-    known = [c for c in fields if c in docs.columns]
-    rows = page(docs.select(*known), number, page_size)
-    return rows.select(*[fields[c].alias({"text": "snippet", "top_words": "words"}.get(c, c)) for c in known])
+    names = {"text": "snippet", "top_words": "words"}
+    return docs.select(*[c.alias(names.get(n, n)) for n, c in fields.items() if n in docs.columns])
+
+
+def text_page(docs: DataFrame, number: int, page_size: int = PAGE_SIZE, shown: int = 5) -> DataFrame:
+    """The shown fields of a page of documents."""
+    return shown_fields(page(docs, number, page_size), shown)
 
 
 def pages(df: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
