@@ -93,7 +93,7 @@ def adjacent_windows(windows: DataFrame) -> DataFrame:
     )
 
 
-def judge_windows(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def judge_windows(pairs: DataFrame, threshold: float = THRESHOLD, keys: tuple[str, ...] = ()) -> DataFrame:
     """Distance, drift flag and magnitude of windows paired with their predecessor.
 
     Flag and magnitude use the exact distance; the reported one has four decimals. The first window
@@ -109,7 +109,7 @@ def judge_windows(pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 "drift_magnitude": F.when(first, "none").otherwise(drift_magnitude(F.col("js"))),
             }
         )
-        .select("window_id", "closing_id", "js_divergence", "drift_detected", "drift_magnitude")
+        .select(*keys, "window_id", "closing_id", "js_divergence", "drift_detected", "drift_magnitude")
     )
 
 

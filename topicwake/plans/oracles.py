@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from topicwake.functions.stopwords import STOP_WORDS
-from topicwake.plans.queries import ELIGIBLE_TYPES, EVENT_TYPES, NOISE_AFTER, NOISE_BEFORE, WINDOW
+from topicwake.plans.queries import ELIGIBLE_TYPES, EVENT_TYPES, NOISE_AFTER, NOISE_BEFORE, USER_WINDOW, WINDOW
 
 _STOP = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
 # The normaliser's rules and their order.
@@ -236,3 +236,18 @@ where drift_detected""",
 from documents order by doc_id limit 10 offset 20""",
     "page_count": """select count(*) as rows, cast(greatest(1, ceil(count(*) / 10)) as bigint) total_pages from documents""",
 }
+ORACLES["overview_merged"] = ORACLES["overview"]
+ORACLES["lengths_merged"] = f"""with {_FEATURES}, l as (select 'Original' as type, original_length as n from feat
+union all select 'Normalized', normalized_length from feat)
+select type, count(*) n, cast(min(n) as bigint) min_len, cast(max(n) as bigint) max_len, true as close from l group by type"""
+ORACLES["stream_drift_by_key"] = f"""with t as (select event_id id, user_id, list_position({ELIGIBLE_TYPES}, event_type) - 1 as topic from events),
+r as (select *, (row_number() over (partition by user_id order by id) - 1) // {USER_WINDOW} as window_id from t where topic >= 0),
+n as (select user_id, window_id, max(id) closing_id from r group by all having count(*) = {USER_WINDOW}),
+g as (select *, unnest(range(10)) topic from n),
+p as (select g.*, (count(r.id) + 1e-10) / ({USER_WINDOW} + 10 * 1e-10) p
+  from g left join r using (user_id, window_id, topic) group by all),
+j as (select x.user_id, x.window_id, sqrt(greatest(0, sum(y.p * ln(y.p / ((x.p + y.p) / 2)) + x.p * ln(x.p / ((x.p + y.p) / 2))) / 2)) js
+  from p x join p y on y.user_id = x.user_id and y.window_id = x.window_id - 1 and y.topic = x.topic group by all),
+w as (select n.*, coalesce(js, 0.0) js from n left join j using (user_id, window_id))
+select user_id, window_id, closing_id, round(js, 4) js_divergence, js > 0.15 drift_detected,
+  case when js < 0.05 then 'none' when js < 0.10 then 'low' when js < 0.20 then 'medium' else 'high' end drift_magnitude from w"""

@@ -18,10 +18,11 @@ from topicwake.operators.normalize import normalize_docs
 from topicwake.plans import reports
 from topicwake.plans.modeling import Params, analyse_docs, run_modeling
 from topicwake.session import materialize, new_table_path, spread
-from topicwake.sources import corpus, inventory, landing, page_index, stage_tables, stages
+from topicwake.sources import corpus, inventory, landing, page_index, stage_tables, stages, summaries
 from topicwake.streaming import jobs
 
 WINDOW = 50
+USER_WINDOW = 5
 CLOCK = 1704164645  # 2024-01-02 03:04:05 UTC
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 ELIGIBLE_TYPES = ["click", "purchase", "signup", "view"]
@@ -365,6 +366,20 @@ def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{out}/windows").drop("closing_id", "batch_id")
 
 
+def stream_drift_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream, drained; the windows of each user."""
+    out = new_table_path(spark, "stream-keyed")
+
+    def start(events: DataFrame) -> DataStreamWriter:
+        place = F.array_position(F.array(*map(F.lit, ELIGIBLE_TYPES)), F.col("event_type")) - 1
+        scored = events.select("user_id", F.col("event_id").alias("id"), place.alias("dominant_topic"))
+        return jobs.stream_drift_by_key(scored, f"{out}/windows", f"{out}/checkpoint", "user_id", Params(window=USER_WINDOW))
+
+    _drain(_table(spark, sf, "events"), "event_id", start)
+    kinds = "user_id long, window_id long, closing_id long, js_divergence double, drift_detected boolean, drift_magnitude string"
+    return spark.read.schema(kinds).parquet(f"{out}/windows")
+
+
 def stream_normalize(spark: SparkSession, sf: str) -> DataFrame:
     """The documents as a stream, drained; the normalised table it leaves."""
     out = new_table_path(spark, "stream-normalize")
@@ -539,6 +554,32 @@ def overview(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(reports.overview(stage), "avg_original_length", "avg_normalized_length")
 
 
+def _summarized(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """The modeled events, and a folder to which they were committed in four batches with their summaries."""
+    rows, out = materialize(features(spark, sf), "features"), new_table_path(spark, "summarized")
+    for p, part in enumerate(_id_parts(rows, "id")):
+        stage_tables.write_stages(materialize(part, "part"), out, _clock(), batch=f"part={p}", batch_num=p + 1, summaries=True)
+    return rows, out
+
+
+def overview_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The overview of four batches from what was kept of each, without their rows."""
+    return _rounded(summaries.overview_merged(spark, _summarized(spark, sf)[1]), "avg_original_length", "avg_normalized_length")
+
+
+def lengths_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Both lengths over four batches from merged sketches; ``close`` tells whether each quantile's true rank is within half a percent."""
+    rows, out = _summarized(spark, sf)
+    found = summaries.lengths_merged(spark, out)
+    ranked = reports.lengths_long(rows).groupBy("type", "length").agg(F.count(F.lit(1)).alias("m")).join(found, "type")
+    near = []
+    for i, p in enumerate((0.25, 0.5, 0.75)):
+        below = F.sum(F.when(F.col("length") < F.col("quantiles")[i], F.col("m")).otherwise(0)) / F.first("n")
+        upto = F.sum(F.when(F.col("length") <= F.col("quantiles")[i], F.col("m")).otherwise(0)) / F.first("n")
+        near.append((below <= p + 0.005) & (upto >= p - 0.005))
+    return ranked.groupBy("type", "n", "min_len", "max_len").agg((near[0] & near[1] & near[2]).alias("close"))
+
+
 def topic_words_first(spark: SparkSession, sf: str) -> DataFrame:
     return reports.topic_words_first(materialize(features(spark, sf), "features"))
 
@@ -640,6 +681,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_summary": drift_summary,
     "last_drift_events": last_drift_events,
     "stream_drift": stream_drift,
+    "stream_drift_by_key": stream_drift_by_key,
     "stream_normalize": stream_normalize,
     "stream_topics": stream_topics,
     "stream_sink": stream_sink,
@@ -655,6 +697,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_features": split_features,
     "batch_manifest": batch_manifest,
     "overview": overview,
+    "overview_merged": overview_merged,
+    "lengths_merged": lengths_merged,
     "normalization_impact": normalization_impact,
     "lengths_long": lengths_long,
     "length_boxplot": length_boxplot,

@@ -9,6 +9,7 @@ from topicwake import schemas
 from topicwake.functions.scalars import batch_name, json_list, utc_stamp
 from topicwake.operators.ids import rows_before
 from topicwake.sources.commits import commit_tables, read_committed
+from topicwake.sources.summaries import summarize, window_sets
 
 BATCH_SIZE = 100
 # Fixed value: the label written when the caller names no model.
@@ -134,12 +135,14 @@ def write_stages(
     batch: str = "",
     dense: bool = False,
     batch_num: int | None = None,
+    summaries: bool = False,
 ) -> str:
     """Write RAW, PROCESSED and FEATURES as parquet and METADATA as JSON below ``path``, visible all at once; returns the version.
 
     Each table reads only its own columns, so ``modeled`` should rest on a written table.
     ``batch`` names what this call writes, such as ``batch_id=7``; a replay replaces it as a whole. ``batch_num``
-    makes all rows one batch of the manifest. Read with :func:`read_stage`. Writing into the corpus folder is refused, since the files
+    makes all rows one batch of the manifest. ``summaries`` adds what :mod:`~topicwake.sources.summaries` keeps of a batch, so that the overview
+    need not read its rows. Read with :func:`read_stage`. Writing into the corpus folder is refused, since the files
     would be read as new documents.
     """
     if source is not None and _overlaps(source, path):
@@ -151,7 +154,8 @@ def write_stages(
         batch_manifest(batched, clock).write.json(folder)
 
     tables = {name.upper(): table.write.parquet for name, table in split_stages(modeled, raw, normalized).items()}
-    return commit_tables(modeled.sparkSession, path, {**tables, "METADATA": manifest}, batch)
+    kept = {"SUMMARY": summarize(modeled).coalesce(1).write.parquet, "WINDOW_SETS": window_sets(modeled).write.parquet} if summaries else {}
+    return commit_tables(modeled.sparkSession, path, {**tables, "METADATA": manifest, **kept}, batch)
 
 
 def read_stage(spark: SparkSession, path: str, name: str) -> DataFrame:
