@@ -258,6 +258,16 @@ def test_substring_dedup_of_odd_rows(spark):
     assert substring_dedup(docs(spark, [])).count() == 0
 
 
+def test_substring_dedup_of_ids_with_several_texts(spark):
+    """Each text keeps what is its own; a passage that two texts under one id hold is held once."""
+    passage = prose(80, 900)
+    rows = [(1, f"{prose(50, 901)} {passage}"), (2, f"{prose(40, 902)} {passage} {prose(40, 903)}"), (2, prose(200, 904)), (3, prose(120, 905)), (3, f"{prose(30, 906)} {passage}")]
+    found = substring_dedup(docs(spark, rows)).collect()
+    left = Counter((r.doc_id, r.n_words - len(words_left(r))) for r in found)
+    assert len(found) == 5 and left[(1, 0)] == 1 and left[(2, 0)] == 1 and left[(3, 0)] == 1
+    assert sorted(n for i, n in left if i == 2)[1] >= 78 and sorted(n for i, n in left if i == 3)[1] >= 78
+
+
 def test_signature_estimates():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.8):
