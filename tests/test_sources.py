@@ -190,6 +190,22 @@ def test_landing(spark, tmp_path):
     assert [r.text for r in landed.orderBy("id").collect()] == ["a", "b", "mended"]
 
 
+def test_a_landing_that_breaks_off_leaves_nothing_to_see(spark, tmp_path):
+    """One task fails for good after others have staged their files: no file, no record; the next run lands all."""
+    source, target, manifest = (str(tmp_path / n) for n in ("src", "dst", "manifest"))
+    for name in "abcdef":
+        write(tmp_path / "src", name, text=pa.array([name]))
+    rows = spark.createDataFrame([(f"{n}.parquet", f"{source}/{n}.parquet") for n in "abcdef"], "file_name string, path string")
+    broken = rows.repartition(3, "file_name").withColumn("path", F.when(F.col("file_name") == "c.parquet", F.raise_error(F.lit("gone")).cast("string")).otherwise(F.col("path")))
+    spark.dataSource.register(landing.LandingSource)
+    with pytest.raises(Exception, match="gone"):
+        broken.write.format("topicwake_landing").mode("append").options(target=target, manifest=manifest, job="j").save()
+    assert landing.landed_files(spark, manifest).count() == 0
+    assert not (tmp_path / "dst").exists() or not [p for p in (tmp_path / "dst").iterdir() if not p.name.startswith("_")]
+    assert landing.land_new_files(spark, source, target, manifest).count() == 6
+    assert len(list((tmp_path / "manifest").glob("*.json"))) == 1 and corpus.scan_corpus(spark, target).count() == 6
+
+
 def test_skip_landed(spark):
     source = spark.createDataFrame([("a",), ("b",), ("c",)], "file_name string")
     landed = spark.createDataFrame([("b",)], "file_name string")

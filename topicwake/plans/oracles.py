@@ -251,3 +251,8 @@ j as (select x.user_id, x.window_id, sqrt(greatest(0, sum(y.p * ln(y.p / ((x.p +
 w as (select n.*, coalesce(js, 0.0) js from n left join j using (user_id, window_id))
 select user_id, window_id, closing_id, round(js, 4) js_divergence, js > 0.15 drift_detected,
   case when js < 0.05 then 'none' when js < 0.10 then 'low' when js < 0.20 then 'medium' else 'high' end drift_magnitude from w"""
+ORACLES["scan_corpus"] = """select row_number() over (order by doc_id % 3, doc_id) - 1 as id,
+  case doc_id % 3 when 0 then 'a' when 1 then '' else 'c' end as title, coalesce(text, 'None') as text,
+  cast(doc_id % 2048 as double) / 8 score, '[]' as reddit_scores from documents"""
+ORACLES["land_files"] = "select doc_id, lang, true as once from documents"
+ORACLES["stage_round_trip"] = "select doc_id, text, lang, n_chars from documents"

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +22,7 @@ from topicwake.plans import reports
 from topicwake.plans.modeling import Params, analyse_docs, run_modeling
 from topicwake.session import materialize, new_table_path, spread
 from topicwake.sources import corpus, inventory, landing, page_index, stage_tables, stages, summaries
+from topicwake.sources.stores import open_store
 from topicwake.streaming import jobs
 
 WINDOW = 50
@@ -175,6 +179,65 @@ def skip_landed(spark: SparkSession, sf: str) -> DataFrame:
     return landing.skip_landed(docs, _table(spark, sf, "labels"), "doc_id").select("doc_id", "source")
 
 
+def _write_corpus(rows: DataFrame, folder: str, title: str | None, score: str) -> None:
+    """Files of a corpus as others write them: without a title if it is None, with scores of the Arrow type ``score``; path order is id order."""
+    order = F.col("doc_id").asc_nulls_first()
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.select("doc_id", "text", (F.pmod("doc_id", F.lit(2048)) / 8).alias("score")).repartitionByRange(parts, order).sortWithinPartitions(order)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, store = None, None
+        for batch in batches:
+            number = batch.column("score").to_numpy(zero_copy_only=False)
+            scores = pa.array(number.astype(np.float16) if score == "halffloat" else number, pa.float16() if score == "halffloat" else pa.type_for_alias(score))
+            columns = {"text": batch.column("text"), "score": scores}
+            if title is not None:
+                columns["title"] = pa.array([title] * batch.num_rows)
+            table = pa.table(columns)
+            if out is None:
+                store, name = open_store(f"{folder}/part-{TaskContext.get().partitionId():05d}.parquet")
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                out = pq.ParquetWriter(name, table.schema, filesystem=store)
+            out.write_table(table)
+        if out is not None:
+            out.close()
+        yield pa.record_batch([pa.array([0 if out is None else 1])], names=["files"])
+
+    placed.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
+def scan_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as a corpus of three kinds of files, one with half-precision scores and one without titles; scanned with an inventory."""
+    docs, top = _table(spark, sf, "documents"), new_table_path(spark, "corpus")
+    for kind, (title, score) in enumerate((("a", "halffloat"), (None, "double"), ("c", "float"))):
+        _write_corpus(docs.where(F.pmod("doc_id", F.lit(3)) == kind), f"{top}/{kind}", title, score)
+    rows = corpus.scan_corpus(spark, top, inventory=new_table_path(spark, "inventory"))
+    return rows.select("id", "title", "text", "score", scalars.json_list(F.col("reddit_scores")).alias("reddit_scores"))
+
+
+def land_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents' files landed in two goes, new files only, and read from where they landed."""
+    docs = _table(spark, sf, "documents").select("doc_id", "lang")
+    source, target, manifest = (new_table_path(spark, n) for n in ("source", "target", "landed"))
+    landed = []
+    for part in _id_parts(docs, "doc_id", 2):
+        part.write.mode("append").parquet(source)
+        landed.append(landing.land_new_files(spark, source, target, manifest).count())
+    again = landing.land_new_files(spark, source, target, manifest).count()
+    new = F.lit(again == 0 and sum(landed) == landing.landed_files(spark, manifest).count())
+    return spark.read.schema(docs.schema).parquet(target).withColumn("once", new)
+
+
+def stage_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as messages of a stage: encoded, read as a stream, published to the next stage, and decoded there."""
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    first, second = new_table_path(spark, "topic"), new_table_path(spark, "topic")
+    stages.encode_stage(docs).write.text(first)
+    good, _ = stages.read_stage_stream(spark, "text", docs.schema, path=first)
+    jobs.drain(stages.write_stage_stream(good, "text", f"{second}-checkpoint", path=second))
+    return stages.decode_stage(spark.read.text(second), docs.schema)[0]
+
+
 # ---- normaliser ----
 
 
@@ -656,6 +719,9 @@ def analyse_documents(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_defaults": scan_defaults,
     "scan_numbered": scan_numbered,
+    "scan_corpus": scan_corpus,
+    "land_files": land_files,
+    "stage_round_trip": stage_round_trip,
     "limit_ingest": limit_ingest,
     "dense_id": dense_id,
     "skip_landed": skip_landed,

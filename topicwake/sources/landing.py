@@ -5,18 +5,22 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from topicwake.session import materialize
 from topicwake.sources.stores import open_store
 
 _CHUNK = 4 << 20
 _MANIFEST = "file_name string"
+_OUTCOME = "file_name string, landed boolean, message string"
 
 
 def skip_landed(source: DataFrame, landed: DataFrame, key: str) -> DataFrame:
@@ -35,59 +39,100 @@ class LandingError(RuntimeError):
 
 
 def landed_files(spark: SparkSession, manifest: str) -> DataFrame:
-    """(file_name) of every file recorded in the manifest, none if there is no manifest yet."""
+    """(file_name) of every file recorded as landed in the manifest, none if there is no manifest yet."""
     try:
-        return spark.read.schema(_MANIFEST).json(manifest)
+        return spark.read.schema(_OUTCOME).json(manifest).where("coalesce(landed, true)").select("file_name")
     except AnalysisException:
         return spark.createDataFrame([], _MANIFEST)
 
 
-def _copy(source: str, target: str, name: str) -> None:
-    """The file as it is, chunk by chunk, under its name only when complete."""
+def _stage(source: str, target: str, name: str) -> str:
+    """Copy the file as it is, chunk by chunk, to a name of its own that no scan reads; returns that name."""
     store, path = open_store(source)
     out, folder = open_store(target)
-    pq.read_schema(path, filesystem=store)  # refuses what is no parquet file
+    with store.open_input_file(path) as f:
+        pq.read_schema(f)  # refuses what is no parquet file
     out.create_dir(folder, recursive=True)
-    part = f"{folder}/_{name}.{uuid.uuid4().hex}"
-    with store.open_input_stream(path) as read, out.open_output_stream(part) as write:
+    staged = f"_{name}.{uuid.uuid4().hex}"
+    with store.open_input_stream(path) as read, out.open_output_stream(f"{folder}/{staged}") as write:
         while chunk := read.read(_CHUNK):
             write.write(chunk)
-    out.move(part, f"{folder}/{name}")
+    return staged
 
 
-def _record(manifest: str, name: str) -> None:
-    store, folder = open_store(manifest)
-    store.create_dir(folder, recursive=True)
-    with store.open_output_stream(f"{folder}/{name}.json") as out:
-        out.write((json.dumps({"file_name": name}) + "\n").encode())
+@dataclass
+class Staged(WriterCommitMessage):
+    """What a task has copied: (file name, staged name or None, message or None) of each of its files."""
+
+    files: list[tuple[str, str | None, str | None]]
+
+
+class LandingWriter(DataSourceArrowWriter):
+    """Tasks stage files; the commit of the whole job gives them their names and records them, in one part of the manifest."""
+
+    def __init__(self, target: str, manifest: str, job: str):
+        self.target, self.manifest, self.job = target, manifest, job
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
+        files: list[tuple[str, str | None, str | None]] = []
+        for batch in iterator:
+            for name, path in zip(batch.column("file_name").to_pylist(), batch.column("path").to_pylist()):
+                try:
+                    files.append((name, _stage(path, self.target, name), None))
+                except (OSError, pa.ArrowException) as error:
+                    files.append((name, None, str(error)[:500]))
+        return Staged(files)
+
+    def commit(self, messages: list[Staged | None]) -> None:
+        store, folder = open_store(self.target)
+        rows = [row for m in messages if m for row in m.files]
+        for name, staged, _ in rows:
+            if staged:
+                store.move(f"{folder}/{staged}", f"{folder}/{name}")
+        if rows:
+            out, place = open_store(self.manifest)
+            out.create_dir(place, recursive=True)
+            with out.open_output_stream(f"{place}/{self.job}.json") as part:
+                for name, staged, message in rows:
+                    part.write((json.dumps({"file_name": name, "landed": staged is not None, "message": message}) + "\n").encode())
+
+    def abort(self, messages: list[Staged | None]) -> None:
+        store, folder = open_store(self.target)
+        for _, staged, _ in (row for m in messages if m for row in m.files):
+            if staged:
+                store.delete_file(f"{folder}/{staged}")
+
+
+class LandingSource(DataSource):
+    """``write.format("topicwake_landing")`` of rows (file_name, path); options target, manifest and job."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "topicwake_landing"
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> LandingWriter:
+        return LandingWriter(self.options["target"], self.options["manifest"], self.options["job"])
 
 
 def land_new_files(spark: SparkSession, source: str, target: str, manifest: str) -> DataFrame:
     """Copy the parquet files of ``source`` that the manifest does not name; (file_name, landed, message) of each.
 
-    One job over the listing: tasks copy their files as they are, with all columns, and record each
-    in the manifest as soon as it has landed. A file that fails does not stop the others; a rerun tries only what is not
-    recorded. A file landed but not recorded, because its executor was lost, is copied again under the same name.
-    Tasks open both folders by :func:`~topicwake.sources.stores.open_store`.
+    Tasks stage copies of their files as they are, with all columns, under names that no scan reads. When all tasks have ended, the job's commit
+    gives the files their names and records all outcomes in one part of the manifest. A job that breaks off before leaves nothing that a reader
+    sees; one that breaks off while it commits has its files copied again under the same names. A file that fails does not stop the others, and a
+    rerun tries it again. Tasks and commit open the folders by :func:`~topicwake.sources.stores.open_store`.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(source)
     wanted = listing.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path")
-    new = skip_landed(wanted, landed_files(spark, manifest), "file_name")
-
-    def land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                message = None
-                try:
-                    _copy(path, target, name)
-                    _record(manifest, name)
-                except (OSError, pa.ArrowException) as error:
-                    message = str(error)[:500]
-                columns = [pa.array([name]), pa.array([message is None]), pa.array([message], pa.string())]
-                yield pa.record_batch(columns, names=["file_name", "landed", "message"])
-
+    new = materialize(skip_landed(wanted, landed_files(spark, manifest), "file_name"), "to-land")
+    job = uuid.uuid4().hex
+    spark.dataSource.register(LandingSource)
     spread = new.select("file_name", "path").repartition(4 * spark.sparkContext.defaultParallelism, "file_name")
-    outcomes = materialize(spread.mapInArrow(land, "file_name string, landed boolean, message string"), "landing")
+    spread.write.format(LandingSource.name()).mode("append").options(target=target, manifest=manifest, job=job).save()
+    try:
+        outcomes = spark.read.schema(_OUTCOME).json(f"{manifest.rstrip('/')}/{job}.json")
+    except AnalysisException:  # no new files, no part
+        return spark.createDataFrame([], _OUTCOME)
     if not outcomes.where("not landed").isEmpty():
         raise LandingError(outcomes)
     return outcomes
