@@ -256,3 +256,8 @@ ORACLES["scan_corpus"] = """select row_number() over (order by doc_id % 3, doc_i
   cast(doc_id % 2048 as double) / 8 score, '[]' as reddit_scores from documents"""
 ORACLES["land_files"] = "select doc_id, lang, true as once from documents"
 ORACLES["stage_round_trip"] = "select doc_id, text, lang, n_chars from documents"
+ORACLES["normalize_compatible"] = f"""with t as (select doc_id, concat('fishing House office 12 otel ', text) as text from documents)
+select doc_id, {_normalized('text')} as text from t"""
+ORACLES["fit_failure"] = """select doc_id id, -1 as dominant_topic, '' as topic_distribution, '' as top_words,
+  'No terms remain in the vocabulary' as error, false as has_summary from documents"""
+ORACLES["stream_replay"] = _SPARSE

@@ -21,8 +21,8 @@ from topicwake.operators.normalize import normalize_docs
 from topicwake.plans import reports
 from topicwake.plans.modeling import Params, analyse_docs, run_modeling
 from topicwake.session import materialize, new_table_path, spread
-from topicwake.sources import corpus, inventory, landing, page_index, stage_tables, stages, summaries
-from topicwake.sources.stores import open_store
+from topicwake.sources import commits, corpus, inventory, landing, page_index, stage_tables, stages, summaries
+from topicwake.sources.stores import open_store, remove_folder
 from topicwake.streaming import jobs
 
 WINDOW = 50
@@ -34,6 +34,7 @@ NOISE_BEFORE = (
     "See https://ex.org/a?b=1 On January 5, 2020 at 12:30:45 PM [ 9 ] <b>Bold</b> $1,000 mid-2020 "
 )
 NOISE_AFTER = " contact@x.org"
+COMPATIBLE = "\ufb01shing \uff28\uff4f\uff55\uff53\uff45 o\ufb03ce \u2460\u00b2 \u210dotel "
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -246,6 +247,12 @@ def normalize_noisy(spark: SparkSession, sf: str) -> DataFrame:
     return normalize_docs(noisy).withColumn("reddit_scores", scalars.json_list(F.col("reddit_scores")))
 
 
+def normalize_compatible(spark: SparkSession, sf: str) -> DataFrame:
+    """documents behind characters that stand for others: ligatures, wide and circled ones, and a capital that only shows once the text is in lower case."""
+    docs = spread(_table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", normalize_text(F.concat(F.lit(COMPATIBLE), "text")).alias("text"))
+
+
 def normalize_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = spread(_table(spark, sf, "pages").select("page_id", "html"))
     return pages.select("page_id", normalize_text(F.col("html")).alias("text")).withColumn(
@@ -319,6 +326,13 @@ def model_docs(spark: SparkSession, sf: str) -> DataFrame:
     return results.select("id", *_laws(results))
 
 
+def fit_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with texts of stop words only: no model, a reason, and a neutral result for each of them."""
+    docs = _table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.lit("the and of").alias("text"))
+    found = run_modeling(docs)
+    return _flat(found.results).withColumns({"error": F.lit(found.error), "has_summary": F.lit(found.summary is not None)})
+
+
 def topics_summary(spark: SparkSession, sf: str) -> DataFrame:
     """The topics of the same run: how many words each has, and how many of these are in the vocabulary."""
     words = run_modeling(clean_texts(spark, sf)).summary.select("topic_id", F.explode("top_words").alias("term"))
@@ -408,13 +422,14 @@ def last_drift_events(spark: SparkSession, sf: str) -> DataFrame:
     return drift.last_drift_events(event_windows(spark, sf), clock=_clock())
 
 
-def _drain(rows: DataFrame, id_col: str, start: Callable[[DataFrame], DataStreamWriter]) -> None:
-    """Drains the stream that ``start`` makes of ``rows``: a micro-batch for each part, in id order, each part a folder that is added."""
+def _drain(rows: DataFrame, id_col: str, start: Callable[[DataFrame], DataStreamWriter]) -> str:
+    """Drains the stream that ``start`` makes of ``rows``: a micro-batch for each part, in id order, each part a folder that is added; returns the folder."""
     spark, inbox = rows.sparkSession, new_table_path(rows.sparkSession, "inbox")
     held = spark.read.parquet(_in_parts(rows, id_col))
     for p in sorted(r["part"] for r in held.select("part").distinct().collect()):
         held.where(F.col("part") == p).select(*rows.columns).write.parquet(f"{inbox}/part={p}")
         jobs.drain(start(spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(inbox)))
+    return inbox
 
 
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
@@ -554,6 +569,21 @@ def stream_sink(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(stage_tables.read_stage(spark, out, "FEATURES"))
 
 
+def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The same stream, whose last micro-batch runs again because its end was not recorded; FEATURES hold each row once."""
+    out = new_table_path(spark, "stream-replay")
+
+    def start(events: DataFrame) -> DataStreamWriter:
+        return jobs.stream_sink(stage_tables.modeled_record(_sparse(_topics_of(events, ELIGIBLE_TYPES))), out, f"{out}/checkpoint")
+
+    events = _table(spark, sf, "events")
+    inbox = _drain(events, "event_id", start)
+    remove_folder(spark, f"{out}/checkpoint/query/commits/3")
+    jobs.drain(start(spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(inbox)))
+    assert commits.commit_log(spark, out).count() == 5
+    return _flat(stage_tables.read_stage(spark, out, "FEATURES"))
+
+
 # ---- sinks ----
 
 
@@ -727,6 +757,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "skip_landed": skip_landed,
     "normalize_docs": normalize_noisy,
     "normalize_pages": normalize_pages,
+    "normalize_compatible": normalize_compatible,
     "tokenize": tokenize,
     "vocabulary": build_vocabulary,
     "doc_term_counts": doc_term_counts,
@@ -735,6 +766,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attach_top_words": attach_top_words,
     "unfitted_scores": unfitted_scores,
     "run_modeling": model_docs,
+    "fit_failure": fit_failure,
     "topics_summary": topics_summary,
     "lda_partial_fit": lda_partial_fit,
     "count_windows": count_windows,
@@ -751,6 +783,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_normalize": stream_normalize,
     "stream_topics": stream_topics,
     "stream_sink": stream_sink,
+    "stream_replay": stream_replay,
     "quarantine": quarantine,
     "dead_letters": dead_letters,
     "load_stage": load_stage,
