@@ -206,8 +206,8 @@ def pieces(
 
     rows = df.select(id_col, text_col)
     kind = rows.schema[0].dataType.simpleString()
-    return map_arrow(rows, cut, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, part long, rank long"
-    )
+    schema = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, part long, rank long"
+    return map_arrow(rows, cut, schema, tokenizer=True)
 
 
 def pack(

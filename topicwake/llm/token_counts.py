@@ -83,4 +83,4 @@ def token_counts(
 
     rows = df.select(id_col, text_col)
     schema = f"`{id_col}` {rows.schema[0].dataType.simpleString()}, n_bytes long, n_tokens long"
-    return map_arrow(rows, count, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return map_arrow(rows, count, schema, tokenizer=True).withColumn("over_limit", F.col("n_tokens") > limit)

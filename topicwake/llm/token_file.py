@@ -114,7 +114,7 @@ def write_token_files(
             )
 
     placed = rows.repartitionByRange(files, "id").sortWithinPartitions("id")
-    manifest = materialize(map_arrow(placed, write, "part long, path string, n_docs long, n_ids long"), "token-files")
+    manifest = materialize(map_arrow(placed, write, "part long, path string, n_docs long, n_ids long", tokenizer=True), "token-files")
     # one row a file, and two levels of sums, so that no window meets more than a few thousand of them
     block = manifest.withColumn("block", F.shiftright("part", 12))
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
