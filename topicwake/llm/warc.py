@@ -90,7 +90,7 @@ class _Archive:
         self.path, self.date = f"{folder}/{uuid.uuid4().hex}.warc.gz", date
         self.store, name = open_store(self.path)
         self.store.create_dir(name.rsplit("/", 1)[0], recursive=True)
-        self.out, self.n_records, self.n_bytes = self.store.open_output_stream(name), 0, 0
+        self.out, self.n_records, self.n_bytes = self.store.open_output_stream(name, compression=None), 0, 0
         self.packer = None
         note = b"software: topicwake\r\nformat: " + VERSION.encode() + b"\r\n"
         self.begin({"WARC-Type": "warcinfo", "Content-Type": "application/warc-fields", "Content-Length": len(note)}, f"<urn:uuid:{uuid.uuid4()}>")
@@ -287,7 +287,7 @@ def read_archives(manifest: DataFrame, size: int = CHUNK, data: bool = True) ->
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 store, name = open_store(path)
-                with store.open_input_stream(name) as stream:
+                with store.open_input_stream(name, compression=None) as stream:
                     held, n = [], 0
                     for row in read_chunks(stream, size):
                         held.append(row if data else (*row[:6], None, *row[7:]))
