@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,13 @@ def discard(*tables: DataFrame) -> None:
         remove_folder(table.sparkSession, table._written)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of ended jobs removed now. Spark removes them once the driver has collected the plans that made them,
+    which it may not do for half an hour; a long operator calls this between its phases."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a small scan over all cores before CPU-heavy work.
 
