@@ -239,3 +239,18 @@ def test_messages_carry_sums_exactly():
     online_lda._add_message(total, online_lda._message(sums))
     online_lda._add_message(total, online_lda._message(np.zeros((50, 3))))
     assert (total == 1 + sums).all()
+
+
+def test_a_fit_of_many_updates_waits_for_no_barrier(spark, docs, monkeypatch):
+    """A barrier costs a second an update; a job an update gives the same topics."""
+    vectors, terms = vectors_of(docs)
+    start = online_lda.new_state(terms, k=3)
+    monkeypatch.setattr(online_lda, "_BARRIER_UPDATES", 100)
+    wanted = online_lda.first_fit(start, vectors, epochs=4, batch=16)
+    monkeypatch.undo()
+    monkeypatch.setattr(online_lda, "_fit_by_barrier", lambda *_: pytest.fail("a barrier job"))
+    found = online_lda.first_fit(start, vectors, epochs=4, batch=16)
+    assert found.updates == wanted.updates > 10
+    np.testing.assert_allclose(found.weights, wanted.weights, rtol=1e-9)
+    monkeypatch.setattr(online_lda, "_SLICE_GROUPS", 2)  # several slices in a partition
+    np.testing.assert_allclose(online_lda.first_fit(start, vectors, epochs=4, batch=16).weights, wanted.weights, rtol=1e-9)
