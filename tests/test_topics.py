@@ -254,3 +254,29 @@ def test_a_fit_of_many_updates_waits_for_no_barrier(spark, docs, monkeypatch):
     np.testing.assert_allclose(found.weights, wanted.weights, rtol=1e-9)
     monkeypatch.setattr(online_lda, "_SLICE_GROUPS", 2)  # several slices in a partition
     np.testing.assert_allclose(online_lda.first_fit(start, vectors, epochs=4, batch=16).weights, wanted.weights, rtol=1e-9)
+
+
+def test_infer_works_document_by_document_alike():
+    """Documents of all sizes in one call as each alone, and blocks are padded little."""
+    rng = np.random.default_rng(5)
+    sizes = np.append(rng.integers(1, 300, 250), [1, 900])
+    starts, topic_terms = np.cumsum(sizes) - sizes, rng.gamma(0.5, 1.0, (1000, 4)) + 1e-3
+    terms = np.concatenate([rng.choice(1000, n, replace=False) for n in sizes])
+    counts = rng.integers(1, 9, len(terms)).astype(float)
+    gamma, expected = online_lda.infer(starts, terms, counts, topic_terms, 0.25)
+    for i, (a, n) in enumerate(zip(starts, sizes)):
+        one, own = online_lda.infer(np.zeros(1, np.int64), terms[a : a + n], counts[a : a + n], topic_terms, 0.25)
+        np.testing.assert_allclose(gamma[i], one[0], rtol=1e-9)
+        np.testing.assert_allclose(expected[a : a + n], own, rtol=1e-9, atol=1e-12)
+    runs = online_lda._alike(np.sort(sizes))
+    assert sum((last - first) * width for first, last, width in runs) < 1.3 * sizes.sum()
+
+
+def test_topics_summary_normalises_the_texts_once(spark, monkeypatch):
+    from topicwake.plans import queries
+
+    calls = []
+    real = queries.clean_texts
+    monkeypatch.setattr(queries, "clean_texts", lambda *a: calls.append(a) or real(*a))
+    rows = queries.topics_summary(spark, "/root/testdata/sf0.001").collect()
+    assert len(calls) == 1 and sorted(tuple(r) for r in rows) == [(t, 10, 10) for t in range(10)]
