@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from cases import docs, odd_rows, prose
 
-from topicwake.llm import minhash, suffix_dedup
+from topicwake.llm import minhash, substring_dedup as fuzzy, suffix_dedup
 from topicwake.llm.chaining import BREAK, GAP, SEED, chains
 from topicwake.llm.components import components, forest
 from topicwake.llm.minhash import near_duplicates, similar_pairs
@@ -16,6 +16,7 @@ from topicwake.llm.substring_dedup import close_enough, substring_dedup
 from topicwake.llm.suffix_dedup import suffix_array_dedup
 from topicwake.llm.suffixes import join, share_with_neighbour, sort_suffixes
 from topicwake.llm.superminhash import signatures
+from topicwake.session import materialize
 
 
 def test_suffix_order_against_sorting():
@@ -248,6 +249,42 @@ def test_substring_dedup_recall(spark):
     assert min(recall.values()) >= 0.95, recall
 
 
+def test_substring_dedup_writes_shared_seeds_only(spark, monkeypatch):
+    """Copies of whole texts write no seeds, and a seed that one text holds is not written; edited passages are found all the same."""
+    sizes = {}
+
+    def record(df, name):
+        table = materialize(df, name)
+        sizes[name] = table.count()
+        return table
+
+    monkeypatch.setattr(fuzzy, "materialize", record)
+    text, short, passage = prose(400, 700), prose(20, 701), prose(80, 702)
+    rows = [(i, text) for i in range(10)] + [(20 + i, short) for i in range(3)] + [(30 + i, prose(300, 710 + i)) for i in range(5)]
+    found = {r.doc_id: r for r in substring_dedup(docs(spark, rows)).collect()}
+    assert sizes["seeds"] == 0 and not any(found[i].spans for i in (0, 20, 21, 22, 30, 34))
+    assert all(not found[i].kept and len(found[i].spans) == 1 for i in range(1, 10))
+    rows += [(40, f"{prose(50, 720)} {passage}"), (41, f"{edited(passage, 15, 3)} {prose(50, 721)}"), (41, f"{edited(passage, 15, 3)} {prose(50, 721)}")]
+    found = [r for r in substring_dedup(docs(spark, rows)).collect() if r.doc_id == 41]
+    assert 0 < sizes["seeds"] < 2 * 80 and len(found) == 2 and all(46 <= len(words_left(r)) <= 54 for r in found)
+
+
+def test_packed_rows_come_back():
+    """Keys of the same 64 bits stay equal, others differ; the pid and the place are as they were."""
+    rng = np.random.default_rng(3)
+    key = rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2) + rng.integers(0, 2, 5000).astype(np.uint64)
+    key[2500:] = key[:2500]
+    pid, at = rng.integers(0, 1 << 62, 5000), rng.integers(0, 1 << 45, 5000)
+    pid[:2] = -5, -1 << 63
+    for buckets in (4, 256, 1 << 15):
+        batches = list(fuzzy._packed(iter([(key[:1000], pid[:1000], at[:1000]), (key[1000:], pid[1000:], at[1000:])]), buckets))
+        names, back, place = fuzzy._unpacked(iter(batches))
+        was = {(int(p), int(a)): int(k) for p, a, k in zip(pid, at, key)}
+        assert len(names) == 5000 and {(int(p), int(a)) for p, a in zip(back, place)} == set(was)
+        pairs = {(int(n), was[(int(p), int(a))]) for n, p, a in zip(names, back, place)}
+        assert len(pairs) == len({n for n, _ in pairs}) == len({k for _, k in pairs}) == len(set(key.tolist()))
+
+
 def test_substring_dedup_of_odd_rows(spark):
     rows = odd_rows()
     found = substring_dedup(docs(spark, rows)).collect()
