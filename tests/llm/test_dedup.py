@@ -5,12 +5,14 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import docs, odd_rows, prose
 
 from topicwake.llm import minhash, substring_dedup as fuzzy, suffix_dedup
 from topicwake.llm.chaining import BREAK, GAP, SEED, chains
 from topicwake.llm.components import components, forest
+from topicwake.llm.jobs import map_arrow
 from topicwake.llm.minhash import near_duplicates, similar_pairs
 from topicwake.llm.substring_dedup import close_enough, substring_dedup
 from topicwake.llm.suffix_dedup import suffix_array_dedup
@@ -269,6 +271,41 @@ def test_substring_dedup_writes_shared_seeds_only(spark, monkeypatch):
     assert 0 < sizes["seeds"] < 2 * 80 and len(found) == 2 and all(46 <= len(words_left(r)) <= 54 for r in found)
 
 
+def test_texts_meet_one_python_process_a_task(spark, monkeypatch):
+    """Functions on all texts leave copies out themselves; no filter in a second Python process runs before them."""
+    plans = {}
+
+    def record(name, function):
+        def recorded(*args):
+            plans[name] = (found := function(*args))._jdf.queryExecution().executedPlan().toString()
+            return found
+
+        monkeypatch.setattr(fuzzy, name, recorded)
+
+    for name in ("_holders", "_windows", "_seed_rows"):
+        record(name, getattr(fuzzy, name))
+    text, passage = prose(90, 730), prose(60, 731)
+    rows = [(1, text), (2, text), (3, f"{passage} {prose(30, 732)}"), (4, f"{prose(30, 733)} {passage}"), (None, text)]
+    found = {r.doc_id: len(words_left(r)) for r in substring_dedup(docs(spark, rows)).collect()}
+    assert found == {1: 90, 2: 0, 3: 90, 4: 30, None: 0}
+    assert len(plans) == 3 and all("MapInArrow" in p and "ArrowEvalPython" not in p for p in plans.values()), plans
+
+
+def test_a_process_keeps_no_powers(spark):
+    """A worker that waits for its next task holds no tables of hash powers, and short blocks need small ones."""
+
+    def sizes(batches):
+        from topicwake.llm import text
+
+        for _ in batches:
+            held = text._powers.cache_info().currsize
+            made = text._power(1000).base.nbytes
+            yield pa.record_batch([pa.array([held]), pa.array([made])], names=["held", "made"])
+
+    rows = [map_arrow(spark.range(8).coalesce(1), sizes, "held long, made long").first() for _ in range(3)]
+    assert all(r.held == 0 and r.made <= 1 << 21 for r in rows)
+
+
 def test_packed_rows_come_back():
     """Keys of the same 64 bits stay equal, others differ; the pid and the place are as they were."""
     rng = np.random.default_rng(3)
