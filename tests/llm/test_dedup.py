@@ -226,6 +226,37 @@ def test_substring_dedup_of_pieces_held_elsewhere(spark):
     assert not words_left(found[1003]) and not words_left(found[1005])
 
 
+def test_substring_dedup_of_seeds_held_elsewhere(spark):
+    """An edited passage is found though every seed that is left of it was seen first in a document of its own, which has no more of it."""
+    rows, edits = [], {}
+    for i in range(6):
+        words, at = prose(84, 800 + i).split(), 100 * i
+        runs = [words[k + 1 : k + 7] for k in range(0, 84, 7)]
+        rows += [(at + k, f"{prose(20, 900 + at + k)} {' '.join(run)} {prose(20, 1900 + at + k)}") for k, run in enumerate(runs)]
+        later = [f"zz{k}" if k % 7 == 0 else w for k, w in enumerate(words)]
+        rows += [(at + 50, f"{prose(30, 2900 + i)} {' '.join(words)}"), (at + 51, f"{' '.join(later)} {prose(30, 3900 + i)}")]
+        edits[at + 51] = len(words)
+    found = {r.doc_id: r for r in substring_dedup(docs(spark, rows)).collect()}
+    assert all(r.n_words - len(words_left(r)) >= edits.get(i, 0) - 3 for i, r in found.items()), {i: len(words_left(found[i])) for i in edits}
+    assert not any(r.spans for i, r in found.items() if i not in edits)
+
+
+def test_partners_are_all_earlier_holders(spark):
+    """Pairs of seeds lead to every earlier document with other words between them; one run of words, distances too far apart, and texts cut already do not."""
+    seed = {name: 1000 + k for k, name in enumerate("abc")}
+
+    def rows(pid, *seeds):
+        return [(pid, seed[s], (place << 32) | (between << 1) | (k & 1)) for k, (s, place, between) in enumerate(seeds)]
+
+    held = rows(1, ("a", 5, 11), ("b", 30, 12)) + rows(2, ("a", 50, 21), ("b", 76, 22)) + rows(3, ("a", 0, 31), ("b", 100, 32))
+    held += rows(4, ("a", 7, 41), ("b", 33, 42), ("c", 34, 43)) + rows(5, ("b", 90, 42), ("c", 91, 53)) + rows(6, ("a", 5, 61), ("b", 30, 62))
+    found = spark.createDataFrame(held, "pid long, holders long, at long")
+    counts = spark.createDataFrame([(i, 120) for i in range(1, 7)], "pid long, n long")
+    covered = spark.createDataFrame([(6, 0, 1 << 30)], "pid long, lo long, hi long")
+    pairs = fuzzy._pair_rows(found, covered, counts, 4)
+    assert sorted(map(tuple, fuzzy._partners(pairs, 4, 10.0).collect())) == [(2, 1), (4, 1), (4, 2)]
+
+
 def test_substring_dedup_recall(spark):
     """Passages of 60 and 100 words with 0.05, 0.1 and 0.2 edits a word, evenly spread and at random."""
     rows, plan = [], {}
